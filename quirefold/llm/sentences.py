@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 #: Quotes and brackets.
 OPEN, CLOSE = "([{（［｛【〈《「『", ")]}）］｝】〉》」』"
 QUOTES = "\"“”„‟«»"
-TAILS = re.escape(CLOSE + QUOTES + "'’")
+TAILS_SET = CLOSE + QUOTES + "'’"
+TAILS = re.escape(TAILS_SET)
 #: Marks that end a sentence without a space behind them, and those that need one.
 FREE_MARKS, MARKS = "。！？｡।॥", ".!?…؟۔"
 #: Common words by which texts in Latin script without a language tag are told apart.
@@ -50,7 +51,7 @@ BOUND, LEAST_BOUND = 0.5, 10
 MOST = 50_000
 FLUSH = 400_000
 
-_TOKEN_END = re.compile(rf"(\S*[^\s{re.escape(MARKS)}])([.!?…؟۔।]+)[{TAILS}]*\s+(\S+)")
+_LAST = frozenset(MARKS + FREE_MARKS + CLOSE + QUOTES + "'’")
 _LEAD = re.compile(rf"^[{re.escape(OPEN)}{QUOTES}'‘’¿¡\-–—]+")
 _SCRIPTS = (("th", re.compile("[฀-๿]")), ("ar", re.compile("[؀-ۿ]")), ("hi", re.compile("[ऀ-ॿ]")), ("ja", re.compile("[぀-ヿ]")), ("zh", re.compile("[一-鿿]")))
 _LATIN = re.compile("[A-Za-z]")
@@ -112,10 +113,14 @@ def count_parts(documents: DataFrame) -> DataFrame:
                 rows += [(lang, k, w, "", n) for (k, w), n in merged.items()]
             for lang, c in pairs.items():
                 merged = Counter()
-                for (a, mark, b), n in c.items():
-                    if mark == ".":
-                        merged[PAIR, _type(a), _start(b)] += n
-                    elif mark in ("!", "?", "؟", "।"):
+                for (a, b), n in c.items():
+                    a = a.rstrip(TAILS_SET)
+                    bare = a.rstrip(MARKS + FREE_MARKS)
+                    if not bare or bare == a:
+                        continue
+                    if a[len(bare) :] == ".":
+                        merged[PAIR, _type(bare), _start(b)] += n
+                    elif a[len(bare) :] in ("!", "?", "؟", "।"):
                         merged[START, "", _start(b)] += n
                 rows += [(lang, k, a, b, n) for (k, a, b), n in merged.items()]
             words.clear()
@@ -125,8 +130,9 @@ def count_parts(documents: DataFrame) -> DataFrame:
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 k = language(lang, text)
-                words.setdefault(k, Counter()).update(text.split())
-                pairs.setdefault(k, Counter()).update(_TOKEN_END.findall(text))
+                tokens = text.split()
+                words.setdefault(k, Counter()).update(tokens)
+                pairs.setdefault(k, Counter()).update([x for x in zip(tokens, tokens[1:]) if x[0][-1] in _LAST])
             if sum(map(len, words.values())) > FLUSH and (out := flush()) is not None:
                 yield out
         if (out := flush()) is not None:
@@ -377,7 +383,7 @@ def _sentences(block: str, lang: str, model: Model) -> list[tuple[int, int]]:
     out, start = [], 0
     held = spans(block)
     k = 0
-    thai = [m.start() for m in _PLAIN_SPACE.finditer(block)]
+    thai = [] if block.isascii() else [m.start() for m in _PLAIN_SPACE.finditer(block)]
     marks = [(m.start(), m.end()) for m in _MARK.finditer(block)]
     events = sorted([(s, e, False) for s, e in marks] + [(p, p, True) for p in thai])
     for s, e, space in events:
@@ -457,9 +463,6 @@ def _sentences(block: str, lang: str, model: Model) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if block[a:b].strip()]
 
 
-TAILS_SET = CLOSE + QUOTES + "'’"
-
-
 def sentence_units(documents: DataFrame, model: Model | None = None, with_text: bool = True) -> DataFrame:
     """doc_id, unit_no, start_pos, end_pos (and unit) of every unit; documents: doc_id, text, lang."""
     docs = documents.select("doc_id", "lang", "text").filter("doc_id is not null and text is not null and text <> ''")
