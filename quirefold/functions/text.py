@@ -24,6 +24,11 @@ TITLE_KEYWORDS = ("introduction", "scope", "requirements", "overview", "summary"
 MAX_MAJOR = 90
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def py_strip(s: Column) -> Column:
     return F.regexp_replace(s, r"^\s+|\s+$", "")
 
@@ -83,7 +88,6 @@ def heading(line: Column) -> Column:
     the line. The reasons are tested in a fixed order and the first that holds is given."""
     from quirefold.functions import numbers as N
 
-    t = clean_junk(F.coalesce(line, F.lit("")))
     arabic, annex, roman = r"[0-9]+(?:[.\-,][0-9]+)*[.\-,]?[A-Za-z]?", r"[A-Z]\.[0-9]+(?:\.[0-9]+)*\.?", r"[IVXLC]+(?:\.[0-9]+)*\.?"
     forms = [
         rf"^\s*((?:{arabic}|{annex}|{roman}))\s+(.+)",
@@ -91,34 +95,44 @@ def heading(line: Column) -> Column:
         rf"^\s*((?:{arabic}|{annex}|{roman}))\s*$()",
         r"(?:^|[:\s])([0-9]+(?:\.[0-9]+)+)\s+([A-Z][A-Za-z].*?)(?:\.|$)",
     ]
-    raw = topic = None
-    for p in reversed(forms):
-        hit = t.rlike(p)
-        raw = F.when(hit, F.regexp_extract(t, p, 1)) if raw is None else F.when(hit, F.regexp_extract(t, p, 1)).otherwise(raw)
-        topic = F.when(hit, F.regexp_extract(t, p, 2)) if topic is None else F.when(hit, F.regexp_extract(t, p, 2)).otherwise(topic)
-    lead = F.regexp_extract(raw, r"^([^.]*)", 1)
-    rest = F.regexp_replace(F.regexp_replace(raw, r"^[^.]*", ""), r"\.+$", "")
-    number = F.when(N.roman_to_int(lead).isNotNull(), F.concat(N.roman_to_int(lead).cast("string"), rest)).otherwise(N.normalise(raw))
-    final = F.regexp_replace(F.trim(number), r"\.+$", "")
-    cut = split_title(topic)
-    title = cut["title"]
-    size = F.size(words(title))
-    zero = F.forall(F.split(final, r"\."), lambda p: F.coalesce(p.try_cast("long") == 0, F.lit(False)))
-    big = F.coalesce(F.get(F.split(final, r"\."), F.lit(0)).try_cast("long") > MAX_MAJOR, F.lit(False))
-    reason = (
-        F.when(raw.isNull(), "no_regex_match")
-        .when(~number.rlike(r"\d"), "no_digits")
-        .when(F.length(number) > 30, "too_long")
-        .when(zero, "zero_section")
-        .when(big, "major_section_too_large")
-        .when(title == "", "empty_topic")
-        .when(size >= 13, "topic_too_long")
-        .when(F.lower(title).rlike(rf"\b(?:{MONTHS})\b"), "contains_month")
-        .when(~title.rlike("[a-zA-Z]"), "numbers_and_punctuation_only")
-        .otherwise(measurement_reason(final, title))
-    )
-    ok = reason.isNull()
-    return F.struct(ok.alias("ok"), F.when(ok, final).alias("number"), F.when(ok, title).alias("topic"), F.when(ok, cut["remainder"]).alias("remainder"), reason.alias("reason"))
+
+    def matched(t: Column) -> Column:
+        out = None
+        for p in forms:
+            pair = F.struct(F.regexp_extract(t, p, 1).alias("raw"), F.regexp_extract(t, p, 2).alias("topic"))
+            out = F.when(t.rlike(p), pair) if out is None else out.when(t.rlike(p), pair)
+        return out
+
+    def numbered(m: Column) -> Column:
+        raw = m["raw"]
+        lead = F.regexp_extract(raw, r"^([^.]*)", 1)
+        rest = F.regexp_replace(F.regexp_replace(raw, r"^[^.]*", ""), r"\.+$", "")
+        number = F.coalesce(F.concat(N.roman_to_int(lead).cast("string"), rest), N.normalise(raw))
+        return F.struct(raw.alias("raw"), number.alias("number"), F.regexp_replace(F.trim(number), r"\.+$", "").alias("final"), split_title(m["topic"]).alias("cut"))
+
+    def judged(x: Column) -> Column:
+        number, final, title = x["number"], x["final"], x["cut"]["title"]
+        zero = F.forall(F.split(final, r"\."), lambda p: F.coalesce(p.try_cast("long") == 0, F.lit(False)))
+        big = F.coalesce(F.get(F.split(final, r"\."), F.lit(0)).try_cast("long") > MAX_MAJOR, F.lit(False))
+        reason = (
+            F.when(x["raw"].isNull(), "no_regex_match")
+            .when(~number.rlike(r"\d"), "no_digits")
+            .when(F.length(number) > 30, "too_long")
+            .when(zero, "zero_section")
+            .when(big, "major_section_too_large")
+            .when(title == "", "empty_topic")
+            .when(F.size(words(title)) >= 13, "topic_too_long")
+            .when(F.lower(title).rlike(rf"\b(?:{MONTHS})\b"), "contains_month")
+            .when(~title.rlike("[a-zA-Z]"), "numbers_and_punctuation_only")
+            .otherwise(measurement_reason(final, title))
+        )
+        return F.struct(x.alias("x"), reason.alias("reason"))
+
+    def told(y: Column) -> Column:
+        ok, x = y["reason"].isNull(), y["x"]
+        return F.struct(ok.alias("ok"), F.when(ok, x["final"]).alias("number"), F.when(ok, x["cut"]["title"]).alias("topic"), F.when(ok, x["cut"]["remainder"]).alias("remainder"), y["reason"].alias("reason"))
+
+    return let(clean_junk(F.coalesce(line, F.lit(""))), lambda t: let(matched(t), lambda m: let(numbered(m), lambda x: let(judged(x), told))))
 
 
 def initial_caps(s: Column) -> Column:
