@@ -1,19 +1,17 @@
 """Detection scoring: matching, fusion, suppression, precision and recall.
 
 Predictions and truths come as rows (image, class_id, x1..y2) with an id each. Greedy steps depend on their order
-and run by (image, class) or image in one Arrow-fed function; confidence ties are broken by the id.
+and run by (image, class) or image as folds over sorted rows; confidence ties are broken by the id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirefold.functions import geometry as G
+from quirefold.operators.grouped import fold_groups
 
 
 def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -40,17 +38,16 @@ def greedy_match(pred: DataFrame, truth: DataFrame, least: float = 0.5) -> DataF
     Only pairs that reach `least` are brought together; a prediction without one is no hit."""
     pairs = pair_iou(pred, truth, least).join(pred.select("image", "class_id", "det_id", "conf"), ["image", "class_id", "det_id"])
 
-    def match(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["conf", "det_id", "iou", "gt_id"], ascending=[False, True, False, True])
+    def match(key, rows):
         used, done, out = set(), set(), []
-        for r in g.itertuples():
-            if r.det_id not in done and r.gt_id not in used:
-                used.add(r.gt_id)
-                done.add(r.det_id)
-                out.append((r.image, r.class_id, r.det_id, r.gt_id))
-        return pd.DataFrame(out, columns=["image", "class_id", "det_id", "gt_id"])
-
-    hit = pairs.groupBy("image", "class_id").applyInPandas(match, "image string, class_id int, det_id long, gt_id long")
+        for det, gt, _iou, _conf in rows:
+            if det not in done and gt not in used:
+                used.add(gt)
+                done.add(det)
+                out.append((*key, det, gt))
+        return out
+
+    hit = fold_groups(pairs.select("image", "class_id", "det_id", "gt_id", "iou", "conf"), ["image", "class_id"], [F.desc("conf"), "det_id", F.desc("iou"), "gt_id"], match, "image string, class_id int, det_id long, gt_id long")
     return pred.select("image", "class_id", "det_id").join(hit, ["image", "class_id", "det_id"], "left").withColumn("tp", F.col("gt_id").isNotNull())
 
 
@@ -68,28 +65,27 @@ def fuse(pred: DataFrame, n_models: int, least: float = 0.55) -> DataFrame:
     """Weighted box fusion by image and class: boxes by falling confidence join the first cluster whose fused box
     they meet over `least`; coordinates are weighted by confidence, which is scaled by how many models agree."""
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["conf", "det_id"], ascending=[False, True])
+    def run(key, rows):
         clusters: list[list] = []
-        fused: list[np.ndarray] = []
-        for r in g.itertuples():
-            b = np.array([r.x1, r.y1, r.x2, r.y2], float)
+        fused: list[list[float]] = []
+        for *b, conf, _det in rows:
             at = -1
             if fused:
-                m = iou_matrix(b[None], np.array(fused))[0]
+                m = iou_matrix(np.array([b], float), np.array(fused))[0]
                 k = int(m.argmax())
                 at = k if m[k] > least else -1
             if at < 0:
-                clusters.append([(r.conf, b)])
-                fused.append(b)
+                clusters.append([(conf, b)])
+                fused.append(list(map(float, b)))
             else:
-                clusters[at].append((r.conf, b))
+                clusters[at].append((conf, b))
                 c = np.array([x[0] for x in clusters[at]])
-                fused[at] = (c[:, None] * np.array([x[1] for x in clusters[at]])).sum(0) / c.sum() if c.sum() else fused[at]
-        out = [(g["image"].iloc[0], g["class_id"].iloc[0], i, *f.tolist(), float(np.mean([x[0] for x in c])) * min(len(c), n_models) / n_models, len(c)) for i, (c, f) in enumerate(zip(clusters, fused))]
-        return pd.DataFrame(out, columns=["image", "class_id", "fused_id", *_BOX, "conf", "n_fused"])
+                if c.sum():
+                    fused[at] = ((c[:, None] * np.array([x[1] for x in clusters[at]])).sum(0) / c.sum()).tolist()
+        return [(*key, i, *f, sum(x[0] for x in c) / len(c) * min(len(c), n_models) / n_models, len(c)) for i, (c, f) in enumerate(zip(clusters, fused))]
 
-    return pred.groupBy("image", "class_id").applyInPandas(run, "image string, class_id int, fused_id int, x1 double, y1 double, x2 double, y2 double, conf double, n_fused int")
+    x = pred.select("image", "class_id", *[F.col(c).cast("double").alias(c) for c in _BOX], "conf", "det_id")
+    return fold_groups(x, ["image", "class_id"], [F.desc("conf"), "det_id"], run, "image string, class_id int, fused_id int, x1 double, y1 double, x2 double, y2 double, conf double, n_fused int")
 
 
 def suppress(pred: DataFrame, least: float = 0.6, exempt: tuple[tuple[int, int], ...] = ()) -> DataFrame:
@@ -97,16 +93,19 @@ def suppress(pred: DataFrame, least: float = 0.6, exempt: tuple[tuple[int, int],
     classes are an exempt pair."""
     pairs = {frozenset(p) for p in exempt}
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["conf", "det_id"], ascending=[False, True])
-        b, c = g[_BOX].to_numpy(float), g["class_id"].to_numpy()
-        m, kept = iou_matrix(b, b), []
-        for i in range(len(g)):
-            if not any(m[i, k] >= least and frozenset((int(c[i]), int(c[k]))) not in pairs for k in kept):
-                kept.append(i)
-        return g.iloc[kept][["image", "class_id", "det_id"]]
-
-    return pred.groupBy("image").applyInPandas(run, "image string, class_id int, det_id long")
+    def run(key, rows):
+        b = np.array([r[:4] for r in rows], float)
+        kept: list[int] = []
+        for i, r in enumerate(rows):
+            if kept:
+                m = iou_matrix(b[i : i + 1], b[kept])[0]
+                if any(m[j] >= least and frozenset((r[4], rows[k][4])) not in pairs for j, k in enumerate(kept)):
+                    continue
+            kept.append(i)
+        return [(key[0], rows[i][4], rows[i][6]) for i in kept]
+
+    x = pred.select("image", *[F.col(c).cast("double").alias(c) for c in _BOX], "class_id", "conf", "det_id")
+    return fold_groups(x, ["image"], [F.desc("conf"), "det_id"], run, "image string, class_id int, det_id long")
 
 
 def contained(pred: DataFrame, inner: int, outer: int, share: float = 0.8) -> DataFrame:
