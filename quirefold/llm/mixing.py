@@ -21,6 +21,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,24 +56,42 @@ def encoder(folder: str = TOKENIZERS, name: str = VOCABULARY):
 
 
 def tokenise(documents: DataFrame, folder: str = TOKENIZERS, name: str = VOCABULARY) -> DataFrame:
-    """doc_id, source (its key), tokens."""
+    """doc_id, source (its key), tokens: packed, two or four bytes each by the size of the vocabulary, little endian."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(folder, name)
+        kind = np.dtype("<u2" if token_bytes(enc) == 2 else "<u4")
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                got = [enc.encode_ordinary(t) for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(got, pa.list_(pa.int32()))], names=["doc_id", "source", "tokens"])
+                got = [np.array(enc.encode_ordinary(t), kind).tobytes() for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(got, pa.binary())], names=["doc_id", "source", "tokens"])
 
     x = documents.filter("text is not null and text <> ''").select("doc_id", source_key(F.col("source")).alias("source"), "text")
-    return x.mapInArrow(run, "doc_id long, source string, tokens array<int>")
+    return x.mapInArrow(run, "doc_id long, source string, tokens binary")
 
 
-def blocks_of(tokens: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """(source, block, pos, doc_id, part): the pieces of documents that make up each block of a source's stream."""
+def token_bytes(enc) -> int:
+    return 2 if enc.n_vocab <= 1 << 16 else 4
+
+
+def unpack(blocks: DataFrame, column: str, size: int) -> DataFrame:
+    """The packed tokens of a column as arrays of ints."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<int>")
+    def ints(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: np.frombuffer(x, f"<u{size}").astype(np.int32))
+
+    return blocks.withColumn(column, ints(column))
+
+
+def blocks_of(tokens: DataFrame, block: int = BLOCK, seed: int = 42, size: int = 2) -> DataFrame:
+    """(source, block, pos, doc_id, part): the pieces of documents that make up each block of a source's stream.
+
+    size: bytes of a packed token."""
     t = tokens.filter("source is not null").withColumn("h", F.xxhash64("doc_id", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
-    t = t.withColumn("n", F.size("tokens").cast("long"))
+    t = t.withColumn("n", F.floor(F.octet_length("tokens") / size))
     heads = t.groupBy("source", "bucket").agg(F.sum("n").alias("in_bucket"))
     # at most BUCKETS rows of a source
     heads = heads.withColumn("head", F.sum("in_bucket").over(Window.partitionBy("source").orderBy("bucket")) - F.col("in_bucket")).drop("in_bucket")
@@ -85,7 +104,7 @@ def blocks_of(tokens: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFram
     x = x.withColumn("block", F.explode(F.sequence(F.floor(b / block), F.floor((b + F.col("n") - 1) / block))))
     start = F.greatest(F.lit(0).cast("long"), F.col("block") * block - b)
     stop = F.least(F.col("n"), (F.col("block") + 1) * block - b)
-    return x.select("source", "block", (b + start - F.col("block") * block).cast("int").alias("pos"), "doc_id", F.slice("tokens", (start + 1).cast("int"), (stop - start).cast("int")).alias("part"))
+    return x.select("source", "block", (b + start - F.col("block") * block).cast("int").alias("pos"), "doc_id", F.substring("tokens", (start * size + 1).cast("int"), ((stop - start) * size).cast("int")).alias("part"))
 
 
 def quotas(have: dict[str, int], targets: list[tuple[str, float, int | None]], total: int | None, block: int = BLOCK) -> dict[str, int]:
@@ -185,7 +204,8 @@ class Mixture:
         spark = documents.sparkSession
         self.targets, self.block = targets, block
         self.tokens = written(tokenise(documents, folder, name), "tokens")
-        by = self.tokens.groupBy("source").agg(F.sum(F.size("tokens")).alias("n"), F.count("*").alias("docs"))
+        self.size = token_bytes(encoder(folder, name))
+        by = self.tokens.groupBy("source").agg(F.sum(F.floor(F.octet_length("tokens") / self.size)).alias("n"), F.count("*").alias("docs"))
         wanted = spark.createDataFrame(targets, "source string, w double, r int")
         self.have = {r.source: r.n for r in by.join(F.broadcast(wanted.select("source")), "source", "left_semi").collect() if r.n}
         self.by_source = by
@@ -195,13 +215,14 @@ class Mixture:
         self.seed = seed
 
     def packed(self) -> DataFrame:
-        """source, block, doc_ids, tokens: at most `block` tokens each."""
-        b = blocks_of(self.tokens, self.block, self.seed).groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pos", "doc_id", "part"))).alias("p"))
-        return b.select("source", "block", F.col("p.doc_id").alias("doc_ids"), F.flatten(F.col("p.part")).alias("tokens"))
+        """source, block, doc_ids, tokens (packed): at most `block` tokens each."""
+        b = blocks_of(self.tokens, self.block, self.seed, self.size).groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pos", "doc_id", "part"))).alias("p"))
+        return b.select("source", "block", F.col("p.doc_id").alias("doc_ids"), F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["part"])).alias("tokens"))
 
     def mixed(self) -> DataFrame:
         """shard, slot, source, block, pass, doc_ids, tokens."""
-        return self.slots.join(self.packed(), ["source", "block"]).select("shard", "slot", "source", "block", "pass", "doc_ids", "tokens")
+        x = self.slots.join(self.packed(), ["source", "block"]).select("shard", "slot", "source", "block", "pass", "doc_ids", "tokens")
+        return unpack(x, "tokens", self.size)
 
     def shares(self) -> DataFrame:
         """source, target_share, actual_share, tokens, own_tokens, passes: what was really reached."""

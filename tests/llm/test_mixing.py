@@ -24,12 +24,13 @@ def test_quotas_keep_caps():
 
 def test_blocks_hold_every_token_once(spark):
     rows = [(i, f"s{i % 3}", list(range(i * 100, i * 100 + (i * 7) % 50))) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, source string, tokens array<int>")
+    df = spark.createDataFrame([(i, s, bytearray(np.array(t, "<u2").tobytes())) for i, s, t in rows], "doc_id long, source string, tokens binary")
     got = blocks_of(df, 16).collect()
-    assert sorted(t for r in got for t in r.part) == sorted(t for _, _, ts in rows for t in ts)
+    ints = lambda b: np.frombuffer(b, "<u2").tolist()
+    assert sorted(t for r in got for t in ints(r.part)) == sorted(t for _, _, ts in rows for t in ts)
     filled = {}
     for r in got:
-        filled.setdefault((r.source, r.block), []).append((r.pos, len(r.part)))
+        filled.setdefault((r.source, r.block), []).append((r.pos, len(r.part) // 2))
     last = {s: max(b for t, b in filled if t == s) for s in ("s0", "s1", "s2")}
     for (s, b), parts in filled.items():
         at = 0
