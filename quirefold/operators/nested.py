@@ -217,7 +217,9 @@ def read_pages(df: DataFrame, key: str = "rec_id", text: str = "raw_json", field
 def words_of(pages: DataFrame, key: str = "rec_id", fields: Iterable[str] = WORD_FIELDS) -> DataFrame:
     """One row per position of a page's parallel arrays (`word_pos`), shorter arrays filled with nulls."""
     fields = tuple(fields)
-    x = pages.select(key, "page_key", "page_pos", F.posexplode(F.arrays_zip(*fields)).alias("word_pos", "w"))
+    kinds = dict(pages.dtypes)
+    full = [F.coalesce(F.col(f), F.array().cast(kinds[f])).alias(f) for f in fields]  # an array that is missing counts as empty
+    x = pages.select(key, "page_key", "page_pos", F.posexplode(F.arrays_zip(*full)).alias("word_pos", "w"))
     return x.select(key, "page_key", "page_pos", "word_pos", *[F.col(f"w.{f}").alias(f) for f in fields])
 
 
