@@ -47,8 +47,8 @@ ENDS, NEVER = 0.6, 0.2
 LEAST_ABBREVIATION, LEAST_COLLOCATION, GUEST = 3, 20, 0.1
 #: From what part of all words behind an abbreviation, met so often, one word is bound to it.
 BOUND, LEAST_BOUND = 0.5, 10
-#: Most types of each kind that are sent to the workers, the best first.
-MOST = 50_000
+#: Most types of each kind that may be sent to the workers; more is an error, nothing is left out.
+MOST = 200_000
 FLUSH = 400_000
 
 _LAST = frozenset(MARKS + FREE_MARKS + CLOSE + QUOTES + "'’")
@@ -237,8 +237,9 @@ class Model:
     @classmethod
     def of(cls, documents: DataFrame) -> Model:
         starters, classes = learn(documents)
-        s = starters.orderBy(F.desc("weight"), "lang", "word").limit(MOST).collect()
-        c = classes.orderBy(F.desc("weight"), "lang", "type").limit(MOST).collect()
+        s, c = starters.limit(MOST + 1).collect(), classes.limit(MOST + 1).collect()
+        if max(len(s), len(c)) > MOST:
+            raise ValueError(f"more than {MOST} starters or abbreviations are sent to a worker; raise MOST or split the languages")
         return cls([(r.lang, r.word) for r in s], [(r.lang, r.type, r["class"]) for r in c])
 
     def kind(self, lang: str, word: str) -> str:
