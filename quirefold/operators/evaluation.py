@@ -108,6 +108,21 @@ def suppress(pred: DataFrame, least: float = 0.6, exempt: tuple[tuple[int, int],
     return fold_groups(x, ["image"], [F.desc("conf"), "det_id"], run, "image string, class_id int, det_id long")
 
 
+def dedup(pred: DataFrame, least: float = 0.8) -> DataFrame:
+    """Boxes that meet no kept one of their class over `least`, by the order of their ids: image, class_id, det_id."""
+
+    def run(key, rows):
+        b = np.array([r[:4] for r in rows], float)
+        kept: list[int] = []
+        for i in range(len(rows)):
+            if not kept or not (iou_matrix(b[i : i + 1], b[kept])[0] > least).any():
+                kept.append(i)
+        return [(*key, rows[i][4]) for i in kept]
+
+    x = pred.select("image", "class_id", *[F.col(c).cast("double").alias(c) for c in _BOX], "det_id")
+    return fold_groups(x, ["image", "class_id"], ["det_id"], run, "image string, class_id int, det_id long")
+
+
 def contained(pred: DataFrame, inner: int, outer: int, share: float = 0.8) -> DataFrame:
     """Boxes of class `inner` that lie over `share` of their area in one of class `outer` of their image."""
     o = pred.filter(F.col("class_id") == outer).select("image", *[F.col(c).alias(f"o_{c}") for c in _BOX])

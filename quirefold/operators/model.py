@@ -78,6 +78,24 @@ def train_and_predict(df: DataFrame, columns: Sequence[str], directions: Mapping
     return y.withColumn("prob", vector_to_array("probability")[1]).withColumn("keep", F.col("prob") >= 0.5).withColumnRenamed("__label", "label").drop("features", "rawPrediction", "probability", "prediction")
 
 
+def importances(df: DataFrame, columns: Sequence[str], seed: int = 42) -> DataFrame:
+    """feature, boosted, forest: how much either kind of trees splits by each feature. Fitted on at most MAX_TRAIN rows."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    known = impute(df, columns).filter("label is not null").withColumn("label", F.col("label").cast("double"))
+    total = known.count()
+    if total > MAX_TRAIN:
+        known = known.filter(F.pmod(F.xxhash64(*columns), F.lit(1_000_000)) < int(1e6 * MAX_TRAIN / total))
+    x = VectorAssembler(inputCols=list(columns), outputCol="features").transform(known).select("features", "label")
+    if total < LEAST_ROWS or x.select("label").distinct().count() < 2:
+        zero = [0.0] * len(columns)
+        return df.sparkSession.createDataFrame(list(zip(columns, zero, zero)), "feature string, boosted double, forest double")
+    a = GBTClassifier(maxIter=10, maxDepth=3, seed=seed).fit(x).featureImportances.toArray().tolist()
+    b = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed).fit(x).featureImportances.toArray().tolist()
+    return df.sparkSession.createDataFrame(list(zip(columns, a, b)), "feature string, boosted double, forest double")
+
+
 def audit(scored: DataFrame) -> DataFrame:
     """Labelled rows the classifier disagrees with, and by how much."""
     x = scored.filter("label is not null")

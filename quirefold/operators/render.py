@@ -53,3 +53,27 @@ def column_widths(columns: DataFrame, total: int = 9360, least: int = 360) -> Da
     x = x.withColumn("diff", total - F.sum("w1").over(w)).withColumn("n", F.count("*").over(w)).withColumn("rank", F.row_number().over(w.orderBy(F.desc("w1"), "col")) - 1)
     extra = F.floor(F.abs("diff") / F.col("n")) + (F.col("rank") < F.abs("diff") % F.col("n")).cast("int")
     return x.select("table_key", "col", (F.col("w1") + F.signum("diff").cast("int") * extra).cast("int").alias("width"))
+
+
+def from_names(tables: DataFrame) -> DataFrame:
+    """Plain tables (column names, rows of texts) in the rich form: a header row from the names, then the rows.
+
+    tables: table_key, columns array<string>, rows array<array<string>>."""
+    cell = lambda t: F.coalesce(t, F.lit(""))
+    head = F.struct(F.lit(True).alias("is_header"), F.transform("columns", cell).alias("cells"))
+    body = F.transform(F.coalesce("rows", F.array().cast("array<array<string>>")), lambda r: F.struct(F.lit(False).alias("is_header"), F.transform(r, cell).alias("cells")))
+    return tables.select("table_key", F.when(F.size("columns") > 0, F.concat(F.array(head), body)).otherwise(body).alias("rows"))
+
+
+def sheet_orientation(n_cols: Column) -> Column:
+    """A spreadsheet of its own lies across the page from eight columns on."""
+    return F.when(n_cols > 7, "landscape").otherwise("portrait")
+
+
+def title_page(data: DataFrame) -> DataFrame:
+    """doc, place, kind, text of a title page: the title, then each field that is filled in, a draft date marked.
+
+    data: doc, document_title and fields."""
+    fields = [c for c in data.columns if c not in ("doc", "document_title")]
+    parts = F.array(F.struct(F.lit("title").alias("kind"), F.col("document_title").alias("text")), *[F.struct(F.lit("draft_date" if "draft" in c else "field").alias("kind"), F.col(c).cast("string").alias("text")) for c in fields])
+    return data.select("doc", F.posexplode(F.filter(parts, lambda p: F.trim(F.coalesce(p["text"], F.lit(""))) != "")).alias("place", "p")).select("doc", "place", "p.kind", "p.text")

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.operators import assorted as A
+from quirefold.operators import earlier as EA
 from quirefold.operators import evaluation as E
 from quirefold.operators import model as M
 from quirefold.operators import pages as P
+from quirefold.operators import render as R
 from quirefold.operators import sequence as Q
 from quirefold.plans import asset_queries as AQ
 from quirefold.plans import model_queries as MQ
@@ -136,8 +138,38 @@ def w1_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return Q.parsed(V.sections(spark, d)).select("doc", "seq", F.lag("num").over(w).alias("before"), F.lead("num").over(w).alias("after"))
 
 
+def l8_word_stream(spark: SparkSession, d: str) -> DataFrame:
+    return EA.word_stream(V.words(spark, d))
+
+
+def w14_list_runs(spark: SparkSession, d: str) -> DataFrame:
+    return EA.list_runs(V.sections(spark, d))
+
+
+def w14_false_chains(spark: SparkSession, d: str) -> DataFrame:
+    return EA.false_chains(V.sections(spark, d))
+
+
+def j13_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return E.dedup(AQ._pred(spark, d, 2))
+
+
+def m5_importances(spark: SparkSession, d: str) -> DataFrame:
+    return M.importances(MQ._features(spark, d), MQ.FEATURES).select("feature", F.round("boosted", 4).alias("boosted"), F.round("forest", 4).alias("forest"))
+
+
+def r5_title_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Title pages from the register."""
+    r = table(spark, d, "doc_register", "doc_stem", "title", "source", "supersedes").filter("doc_stem is not null").distinct()
+    return R.title_page(r.select(F.col("doc_stem").alias("doc"), F.col("title").alias("document_title"), "source", "supersedes"))
+
+
+def r11_sheet_orientation(spark: SparkSession, d: str) -> DataFrame:
+    return _tables(spark, d).select("rec_id", R.sheet_orientation(F.col("n_cols")).alias("orientation"))
+
+
 QUERIES = {f.__name__: f for f in (j6_toc_pages, j12_resolve_stems, j14_crop_labels, j16_source_precedence, n18_table_keys, n19_names, n21_output_numbers, s18_select, t8_header_rows, t11_captions, q3_rectangular, a9_rank_features, a19_balanced, a20_number_density,
-                                   a21_side_by_side, o3_disagreements, o5_hash_split, c5_counters, w1_neighbours)}
+                                   a21_side_by_side, o3_disagreements, o5_hash_split, c5_counters, w1_neighbours, l8_word_stream, w14_list_runs, w14_false_chains, j13_dedup, m5_importances, r5_title_pages, r11_sheet_orientation)}
 
 from quirefold.plans.line_queries import _out_sql, _valid  # noqa: E402
 
@@ -162,5 +194,11 @@ SQL = {
         SELECT rec_id, CAST(i AS INTEGER) AS r, coalesce(array_to_string([CASE WHEN k <= len(coalesce(r.cells, [])) THEN coalesce(r.cells[k].text, '') ELSE '' END FOR k IN range(1, n + 1)], '|'), '') AS line FROM r""",
     "a19_balanced": f"WITH {V.ASSETS}, c AS (SELECT class_id, count(*) FILTER (has_caption) AS p, count(*) FILTER (NOT coalesce(has_caption, false)) AS n FROM assets GROUP BY class_id) SELECT class_id, true AS is_positive, p AS n FROM c WHERE p > 0 UNION ALL SELECT class_id, false, least(n, CAST(floor(p * 0.25) AS BIGINT)) FROM c WHERE least(n, floor(p * 0.25)) > 0",
     "a20_number_density": "SELECT doc_id, round(coalesce(coalesce(list_sum([length(n) FOR n IN regexp_extract_all(text, '\\d+(?:\\.\\d+)+')]), 0) / nullif(length(regexp_replace(text, '\\s', '', 'g')), 0), 0), 6) AS density FROM documents WHERE text IS NOT NULL",
+    "r11_sheet_orientation": f"WITH {_TB} SELECT rec_id, CASE WHEN n_cols > 7 THEN 'landscape' ELSE 'portrait' END AS orientation FROM tb",
+    "r5_title_pages": """WITH r AS (SELECT DISTINCT doc_stem, title, source, supersedes FROM doc_register WHERE doc_stem IS NOT NULL), p AS (SELECT doc_stem AS doc, [x FOR x IN [{'kind': 'title', 'text': title}, {'kind': 'field', 'text': source}, {'kind': 'field', 'text': supersedes}] IF trim(coalesce(x.text, '')) <> ''] AS a FROM r),
+        u AS (SELECT doc, unnest(a) AS x, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS place FROM p) SELECT doc, place, x.kind AS kind, x.text AS text FROM u""",
+    "w14_false_chains": f"""WITH {V.SECTIONS}, n AS (SELECT doc, seq, regexp_replace(regexp_replace(regexp_replace(section_number, ',', '.', 'g'), '(\\d)-(\\d)', '\\1.\\2', 'g'), '(\\d)-(\\d)', '\\1.\\2', 'g') AS s FROM sections), k AS (SELECT doc, seq, CAST(string_split(s, '.')[1] AS INTEGER) AS m, contains(s, '.') AS deep FROM n),
+        x AS (SELECT *, last_value(CASE WHEN deep THEN m END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p, first_value(CASE WHEN deep THEN m END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS q FROM k)
+        SELECT doc, seq FROM x WHERE NOT deep AND m > p AND p = q""",
     "w1_neighbours": f"WITH {V.PARSED} SELECT doc, seq, lag(num) OVER w AS before, lead(num) OVER w AS after FROM parsed WINDOW w AS (PARTITION BY doc ORDER BY seq)",
 }

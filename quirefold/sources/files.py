@@ -81,6 +81,22 @@ def pair_images(images_: DataFrame, labels_: DataFrame) -> DataFrame:
     return images_.withColumn("stem", stem_of(F.col("path"))).join(labels_.select("stem").distinct(), "stem")
 
 
+def feature_csv(spark: SparkSession, path: str, schema: str, required: list[str]) -> DataFrame:
+    """A feature table from CSV under a declared schema, as section numbers are texts (1.10 is not 1.1). Columns that are
+    required and missing are an error."""
+    have = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in required if c not in have]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def classification_or_default(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each document's class, or content from page 1 of an unknown kind where there is none. classes: doc, start, document_type."""
+    x = docs.select("doc").distinct().join(classes.dropDuplicates(["doc"]), "doc", "left")
+    return x.select("doc", F.coalesce("start", F.lit(1)).alias("start"), F.coalesce("document_type", F.lit("unknown")).alias("document_type"))
+
+
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 DEFAULT_WIDTH = 8.43
 
