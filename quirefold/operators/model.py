@@ -115,9 +115,10 @@ def reclassify(elements: DataFrame, keep: DataFrame) -> DataFrame:
 
 def mutual_information(df: DataFrame, label_: str, columns: Sequence[str], bins: int = 20) -> DataFrame:
     """Binned estimate of each feature's mutual information with the label, in nats."""
-    low = df.agg(*[F.min(c).cast("double").alias(f"a_{c}") for c in columns], *[F.max(c).cast("double").alias(f"b_{c}") for c in columns])
-    x = df.crossJoin(F.broadcast(low))  # one row of bounds
-    parts = F.array(*[F.struct(F.lit(c).alias("feature"), F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide((F.col(c) - F.col(f"a_{c}")) * bins, F.col(f"b_{c}") - F.col(f"a_{c}"))), F.lit(0))).alias("bin")) for c in columns])
+    low = df.agg(*[F.min(c).cast("double").alias(f"a_{c}") for c in columns], *[F.max(c).cast("double").alias(f"b_{c}") for c in columns]).first()  # one row of bounds
+    place = lambda c: F.floor(F.try_divide((F.col(c) - F.lit(low[f"a_{c}"])) * bins, F.lit(low[f"b_{c}"]) - F.lit(low[f"a_{c}"])))
+    parts = F.array(*[F.struct(F.lit(c).alias("feature"), F.least(F.lit(bins - 1), F.coalesce(place(c), F.lit(0))).alias("bin")) for c in columns])
+    x = df
     g = x.select(F.col(label_).alias("y"), F.explode(parts).alias("p")).groupBy("p.feature", "p.bin", "y").agg(F.count("*").alias("n"))
     w = lambda *k: F.sum("n").over(Window.partitionBy(*k))
     g = g.withColumn("all", w("feature")).withColumn("nb", w("feature", "bin")).withColumn("ny", w("feature", "y"))
