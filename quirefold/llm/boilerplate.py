@@ -31,6 +31,8 @@ WINDOW = 6
 #: A line is a candidate from this part of its letters in repeated chunks.
 LEAST_PART = 0.1
 MAX_HOT = 2_000_000
+#: Pages handled at once; arrays of so many stay in the processor's cache.
+SLICE = 256
 MAX_BROADCAST = 200_000
 #: Letters and digits that scanning takes for one another, each class under one letter.
 CONFUSED = {"a": "o", "c": "e", "q": "g", "f": "t", "h": "b", "i": "l"}
@@ -142,12 +144,13 @@ def _chunk_docs(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                src, doc, need, text = b.slice(at, 1024).columns
+            for at in range(0, b.num_rows, SLICE):
+                src, doc, need, text = b.slice(at, SLICE).columns
                 L = Lines(text.to_pylist(), np.asarray(src).view(np.uint64))
                 page = L.line_page[L.lines][L.owner]
-                pair = np.unique(np.stack((L.keys.view(np.int64), np.asarray(doc)[page], np.asarray(need)[page])), axis=1) if len(page) else np.zeros((3, 0), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["key", "doc", "need"])
+                docs = np.asarray(doc)[page]
+                one = np.unique(L.keys ^ _mix(docs.view(np.uint64)), return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(x[one]) for x in (L.keys.view(np.int64), docs, np.asarray(need)[page])], names=["key", "doc", "need"])
 
     x = pages.select("src", "doc", F.col("need").cast("long"), "page_text").filter("page_text is not null and page_text <> ''")
     return x.mapInArrow(run, "key long, doc long, need long")
@@ -162,8 +165,8 @@ def _candidates(pages: DataFrame, hot: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = sent.value
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                ids, src, doc, *texts = b.slice(at, 1024).columns
+            for at in range(0, b.num_rows, SLICE):
+                ids, src, doc, *texts = b.slice(at, SLICE).columns
                 first = texts[0].to_pylist()
                 for field, text in enumerate(texts):
                     t = first if field == 0 else [None if x == y else x for x, y in zip(text.to_pylist(), first)]
