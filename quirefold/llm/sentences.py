@@ -16,8 +16,8 @@ closing mark. Repeated rows count once.
 
 from __future__ import annotations
 
-import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -260,30 +260,39 @@ _SPAN = re.compile(rf"[{re.escape(OPEN + CLOSE + QUOTES)}]")
 _PLAIN_SPACE = re.compile("(?<=[฀-๿຀-໿ក-៿က-႟]) +(?=[฀-๿຀-໿ក-៿က-႟])")
 _PAIRS = dict(zip(OPEN, CLOSE))
 _QUOTE_PAIRS = {"„": "“”", "“": "”", "«": "»", "»": "«"}
-_WORD_BEFORE = re.compile(r"\S+$")
 
 
 def spans(block: str) -> list[tuple[int, int, bool]]:
-    """(start, end, is quote) of the outermost quoted and bracketed stretches that are closed in the block."""
+    """(start, end, is quote) of the outermost quoted and bracketed stretches that are closed in the block.
+
+    Brackets are matched with a stack for each kind, quotes with the next mark that closes them."""
     marks = [(m.start(), m.group()) for m in _SPAN.finditer(block)]
+    if not marks:
+        return []
+    closes: dict[int, int] = {}
+    stacks: dict[str, list[int]] = {}
+    places: dict[str, list[int]] = {}
+    for i, (_, c) in enumerate(marks):
+        if c in _PAIRS:
+            stacks.setdefault(_PAIRS[c], []).append(i)
+        elif c in CLOSE:
+            if stacks.get(c):
+                closes[stacks[c].pop()] = i
+        else:
+            places.setdefault(c, []).append(i)
     out, i = [], 0
     while i < len(marks):
         at, c = marks[i]
-        ends = _PAIRS.get(c) or _QUOTE_PAIRS.get(c) or ('"' if c == '"' else "")
-        if c == "”" or c in CLOSE or not ends:
-            i += 1
-            continue
-        depth, j = 0, i + 1
-        while j < len(marks):
-            d = marks[j][1]
-            if d in ends and not depth:
-                break
-            if c in _PAIRS and d == c:
-                depth += 1
-            elif c in _PAIRS and d in ends:
-                depth -= 1
-            j += 1
-        if j == len(marks):
+        if c in _PAIRS:
+            j = closes.get(i, -1)
+        else:
+            j = -1
+            for q in _QUOTE_PAIRS.get(c, '"' if c == '"' else ""):
+                later = places.get(q, [])
+                k = bisect_right(later, i)
+                if k < len(later) and (j < 0 or later[k] < j):
+                    j = later[k]
+        if j < 0:
             i += 1
             continue
         out.append((at, marks[j][0] + 1, c not in "([{（［｛"))
@@ -291,6 +300,13 @@ def spans(block: str) -> list[tuple[int, int, bool]]:
     return out
 
 
+def _word_before(block: str, start: int, at: int) -> int:
+    """Where the word that ends at `at` begins, not before start."""
+    while at > start and not block[at - 1].isspace():
+        at -= 1
+    return at
+
+
 def _continues(block: str, end: int, quote: bool, opened: bool, lang: str, model: Model) -> bool:
     """Whether a sentence goes on behind a quote or bracket that holds a closing mark at its end.
 
@@ -310,10 +326,10 @@ def _continues(block: str, end: int, quote: bool, opened: bool, lang: str, model
 
 def _period_ends(block: str, start: int, at: int, stop: int, nxt: str, lang: str, model: Model) -> bool:
     """Whether the period at `at` in the sentence from start, with the text from stop behind it, ends it."""
-    m = _WORD_BEFORE.search(block, start, at)
-    if not m:
+    begin = _word_before(block, start, at)
+    if begin == at:
         return True
-    token = _LEAD.sub("", m.group()).rstrip(CLOSE + QUOTES)
+    token = _LEAD.sub("", block[begin:at]).rstrip(CLOSE + QUOTES)
     core = token.lower()
     w = _start(nxt)
     opens = nxt[0] in OPEN + QUOTES + "¿¡"
@@ -321,7 +337,7 @@ def _period_ends(block: str, start: int, at: int, stop: int, nxt: str, lang: str
     if not token or block[at - 1] in CLOSE + QUOTES:
         return True
     if _NUMBER.fullmatch(token):
-        if m.start() == start or not block[start : m.start()].strip(OPEN + QUOTES + " "):
+        if begin - start < 40 and not block[start:begin].strip(OPEN + QUOTES + " \n\t"):
             return False  # the number of a heading
         return model.kind(lang, "#") == "ends" or starter or not w
     if len(token) == 1 and token.isupper():  # an initial, or a letter that names something
@@ -332,7 +348,7 @@ def _period_ends(block: str, start: int, at: int, stop: int, nxt: str, lang: str
     if w == "#" or nxt[:1].isdigit():
         return len(core) >= 4
     if kind == "mixed":
-        before = block[start : m.start()].split()
+        before = block[max(start, begin - 400) : begin].split()
         if len(before) <= 2 or len(before) > 2 and any(x.endswith(",") for x in before[-2:]) and not starter:
             return False
         initial = len(w) == 1 and w.isupper()
@@ -412,7 +428,7 @@ def _sentences(block: str, lang: str, model: Model) -> list[tuple[int, int]]:
             if _continues(block, end, quote, opened, lang, model):
                 continue
             # the stretch ends with a mark; a period may still belong to an abbreviation
-            while end < len(block) and block[end] in CLOSE + "'’" and not any(x[0] == end for x in held):
+            while end < len(block) and block[end] in CLOSE + "'’" and not any(x[0] == end for x in held[k : k + 3]):
                 end += 1
             out.append((start, end))
             start = end
@@ -443,7 +459,7 @@ def _sentences(block: str, lang: str, model: Model) -> list[tuple[int, int]]:
             capital = word and word.group()[0].isupper() and (len(word.group()) > 1 and word.group()[1].islower() or re.match(r"[^\W\d_](?:\s|\.\s+[^\W\d_])", rest) and rest[:3].strip()[-1:] != "" and (rest[1:2].isspace() or rest.split(None, 1)[1][:1].isupper()))
             if not behind or not (quoted or capital):
                 continue
-            if run == "." and model.kind(lang, (m := _WORD_BEFORE.search(block, start, s)) and _LEAD.sub("", m.group()).lower() or "") == "never":
+            if run == "." and model.kind(lang, _LEAD.sub("", block[_word_before(block, start, s) : s]).lower()) == "never":
                 continue
             out.append((start, end))
             start = end

@@ -41,7 +41,7 @@ def test_others(case):
 
 
 def test_units_lose_nothing():
-    for text in [*WANT, *(t for _, t in OTHER), "  \n \n", "(", '"a. B', "...", "。" * 50, "x" * 100_000]:
+    for text in [*WANT, *(t for _, t in OTHER), "  \n \n", "(", '"a. B', "...", "。" * 50, "x" * 100_000, "(" * 50_000, '"«' * 20_000, "p. X " * 20_000, '"A." ' * 10_000, "(a. B) " * 10_000]:
         got = units(text, "en", MODEL)
         assert all(a < b for a, b in got) and all(p[1] <= q[0] for p, q in zip(got, got[1:]))
         kept = "".join(text[a:b] for a, b in got)
