@@ -200,5 +200,10 @@ SQL = {
     "w14_false_chains": f"""WITH {V.SECTIONS}, n AS (SELECT doc, seq, regexp_replace(regexp_replace(regexp_replace(section_number, ',', '.', 'g'), '(\\d)-(\\d)', '\\1.\\2', 'g'), '(\\d)-(\\d)', '\\1.\\2', 'g') AS s FROM sections), k AS (SELECT doc, seq, CAST(string_split(s, '.')[1] AS INTEGER) AS m, contains(s, '.') AS deep FROM n),
         x AS (SELECT *, last_value(CASE WHEN deep THEN m END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p, first_value(CASE WHEN deep THEN m END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS q FROM k)
         SELECT doc, seq FROM x WHERE NOT deep AND m > p AND p = q""",
+    "c5_counters": rf"""WITH {TQ._TYPES}, x AS (SELECT doc, page, coalesce(page_text, '') AS t FROM pgs), w AS (SELECT *, [w FOR w IN regexp_split_to_array(t, '\s+') IF w <> ''] AS ws,
+            [regexp_extract(r, '(\d{{1,2}}(?:\.\d{{1,2}}){{1,5}})$', 1) FOR r IN [rtrim(r, '') FOR r IN regexp_extract_all(t, '[0-9.]+')] IF regexp_full_match(r, '\d{{1,2}}(?:\.\d{{1,2}}){{1,5}}')] AS ns FROM x)
+        SELECT doc, page, len(ws) AS n_words, len(list_distinct([n FOR n IN ns IF NOT (len(string_split(n, '.')) = 2 AND ((length(string_split(n, '.')[2]) >= 2 AND string_split(n, '.')[2][1] = '0') OR CAST(string_split(n, '.')[2] AS INTEGER) > 30))])) AS n_numbers,
+            length(regexp_replace(t, '\s', '', 'g')) AS n_ink, length(regexp_replace(t, '[^.]', '', 'g')) AS n_periods, len(regexp_extract_all(t, '(?i)\b(?:Figure|Table|Fig\.?)\s*\d+')) AS n_captions, regexp_matches(t, '{P.TOC_HEADER}') AS toc_header,
+            len(ws) >= 150 AND len([w FOR w IN ws IF lower(w) IN ({TQ._STOP})]) > 0.15 * len(ws) AND length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) > 0 AND length(regexp_replace(t, '[^\p{{Ll}}]', '', 'g')) > 0.70 * length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AND length(regexp_replace(t, '[^.]', '', 'g')) < 40 AS is_prose FROM w""",
     "w1_neighbours": f"WITH {V.PARSED} SELECT doc, seq, lag(num) OVER w AS before, lead(num) OVER w AS after FROM parsed WINDOW w AS (PARTITION BY doc ORDER BY seq)",
 }

@@ -87,7 +87,25 @@ def r3_table_route(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (f_section_features, n23_title_confidence, w13_tracker, x4_demote, r1_render_plan, r3_table_route, g6_column_widths, u1_open_pages, q1_json_answers, k1_json_documents, k5_word_documents, event_hours)}
+_L = lambda ws: ", ".join(f"'{w}'" for w in ws)
 SQL = {
+    "n23_title_confidence": "WITH " + V.SECTIONS + rf""", a AS (SELECT doc, seq, topic, lower(regexp_replace(topic, '^\s+|\s+$', '', 'g')) AS low, [w FOR w IN regexp_split_to_array(topic, '\s+') IF w <> ''] AS ws,
+            [x FOR x IN string_split(regexp_replace(regexp_replace(regexp_replace(section_number, ',', '.', 'g'), '(\d)-(\d)', '\1.\2', 'g'), '(\d)-(\d)', '\1.\2', 'g'), '.') IF x <> ''] AS ps FROM sections),
+        b AS (SELECT *, len(ws) AS n, len(ps) AS depth, try_cast(regexp_extract(ps[1], '(\d+)', 1) AS INTEGER) AS major,
+            CASE WHEN lower(ws[1]) IN ({_L(RP.ARTICLES)}) THEN 0.7 ELSE 1 END * CASE WHEN lower(ws[1]) IN ({_L(RP.IMPERATIVES)}) THEN 0.5 ELSE 1 END * CASE WHEN regexp_matches(low, '\b(?:{'|'.join(RP.CONNECTORS)})\b') THEN 0.6 ELSE 1 END
+                * CASE WHEN lower(ws[-1]) IN ({_L(RP.TRAILING)}) AND len(ws) > 3 THEN 0.8 ELSE 1 END * CASE WHEN regexp_matches(topic, '\([^)]*\)') THEN 0.7 ELSE 1 END * CASE WHEN list_avg([length(w) FOR w IN ws]) > 12 THEN 0.8 ELSE 1 END AS less,
+            CASE WHEN (upper(topic) = topic AND regexp_matches(topic, '\p{{L}}')) OR (regexp_matches(topic, '\p{{L}}') AND NOT regexp_matches(topic, '(?:^|[^\p{{L}}])\p{{Ll}}') AND NOT regexp_matches(topic, '\p{{L}}\p{{Lu}}')) THEN 1.1 ELSE 1.0 END AS cased,
+            len([k FOR k IN [{_L(RP.KEYWORDS)}] IF contains(low, k)]) > 0 AS key FROM a),
+        c AS (SELECT *, CAST(greatest(0.1, least(1.0, CASE WHEN n <= 4 THEN 1.0 WHEN n <= 6 THEN 0.85 WHEN n <= 8 THEN 0.65 WHEN n <= 10 THEN 0.45 ELSE 0.25 END * less * CASE WHEN key THEN least(cased * 1.1, 1.2) ELSE cased END)) AS DOUBLE) AS t,
+            CASE WHEN depth >= 4 THEN 0.95 WHEN depth = 3 THEN 0.90 WHEN depth = 2 THEN 0.80 WHEN major <= 3 THEN 0.30 WHEN major <= 10 THEN 0.40 WHEN major <= 20 THEN 0.35 ELSE 0.20 END AS dc FROM b)
+        SELECT doc, seq, round(t, 6) AS title, round(CASE WHEN depth = 0 OR major IS NULL THEN 0.0 WHEN depth >= 2 THEN pow(dc, 0.7) * pow(t, 0.3) ELSE sqrt(dc) * sqrt(t) END, 6) AS section FROM c""",
+    "r3_table_route": "WITH " + TQ._GRID + """, l AS (SELECT rec_id, n_cols > 4 AND sum(n * 0.055) + n_cols * 0.15 > 6.5 AS land FROM (SELECT rec_id, n_cols, col, max(list_max([length(w) FOR w IN regexp_split_to_array(text, '\\s+')])) AS n FROM g GROUP BY ALL) GROUP BY rec_id, n_cols),
+        t AS (SELECT DISTINCT ON (rec_id) rec_id, layout_type, rows, source_image FROM table_ocr WHERE rec_id IS NOT NULL), r AS (SELECT t.rec_id, layout_type, coalesce(land, false) AS land, CASE WHEN coalesce(len(rows), 0) > 0 THEN 'rich' WHEN source_image IS NOT NULL THEN 'image' ELSE 'placeholder' END AS route FROM t LEFT JOIN l ON t.rec_id = l.rec_id)
+        SELECT rec_id AS table_key, route, CASE WHEN land AND route = 'rich' THEN 'landscape' ELSE 'portrait' END AS orientation, coalesce(layout_type, '') <> 'table_layout' AS captioned FROM r""",
+    "g6_column_widths": "WITH " + TQ.SQL["a18_widths"].replace("WITH ", "", 1).replace("SELECT rec_id, CAST(col AS INTEGER) AS col, round(", ", w AS (SELECT rec_id, CAST(col AS INTEGER) AS col, round(", 1) + """),
+        y AS (SELECT rec_id AS table_key, col, CASE WHEN col % 5 <> 4 AND round(width_pct, 1) > 0 THEN CAST(floor(9360 * round(width_pct, 1) / 100) AS BIGINT) END AS w0 FROM w), z AS (SELECT *, count(*) FILTER (w0 IS NULL) OVER p AS open, 9360 - sum(coalesce(w0, 0)) OVER p AS rest FROM y WINDOW p AS (PARTITION BY table_key)),
+        v AS (SELECT table_key, col, coalesce(w0, greatest(CAST(floor(rest / open) AS BIGINT), 360)) AS w1 FROM z), u AS (SELECT *, 9360 - sum(w1) OVER (PARTITION BY table_key) AS diff, count(*) OVER (PARTITION BY table_key) AS n, row_number() OVER (PARTITION BY table_key ORDER BY w1 DESC, col) - 1 AS rank FROM v)
+        SELECT table_key, col, CAST(w1 + sign(diff) * (abs(diff) // n + CASE WHEN rank < abs(diff) % n THEN 1 ELSE 0 END) AS INTEGER) AS width FROM u""",
     "x4_demote": "WITH " + V.PARSED + S._TOC + """, x AS (SELECT p.*, length(section_number) >= 5 AND t.num IS NULL AS bad FROM parsed p LEFT JOIN toc t ON p.doc = t.doc AND regexp_replace(p.num, '\\.+$', '') = t.num)
         SELECT doc, seq, CASE WHEN bad THEN 'unassigned_text_block' ELSE 'section' END AS type, CASE WHEN bad THEN section_number END AS demoted_from, CASE WHEN bad THEN section_number || ' ' || topic || ' ' || topic END AS text FROM x""",
     "event_hours": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
