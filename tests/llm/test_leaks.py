@@ -42,3 +42,11 @@ def test_forms_and_offsets(spark):
     assert got[5].n_words == 12
     assert find_leaks(spark.createDataFrame([(1, "a")], "doc_id long, text string"), {}).count() == 0
     assert best_chain([(0, 10, 20), (50, 0, 9)], 20, 8)[0] == 10
+
+
+def test_extra_columns_nulls_and_long_texts(spark):
+    item = " ".join(f"w{i}x" for i in range(30))
+    rows = [(1, item + " zz" * 50_000, 5, "a"), (None, item, 5, "a"), (2, item.upper(), None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id int, n_words string")
+    got = {r.doc_id: (r.item_id, r.n_words) for r in find_leaks(df, {9: item}).collect()}
+    assert got == {1: (9, 30), 2: (9, 30), None: (9, 30)}
