@@ -44,10 +44,32 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quirefold-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read back: the lineage is cut and a lost
-    executor costs nothing that was computed before."""
+    executor costs nothing that was computed before. `release` deletes what an application wrote."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the table of a result of `written` that nothing reads any more, as those of the rounds of a loop."""
+    if path := getattr(df, "_written_at", None):
+        _delete(df.sparkSession, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all intermediates this application wrote; results that aren't computed yet can't be any more."""
+    _delete(spark, _app_dir(spark))

@@ -1,3 +1,4 @@
+import glob
 import io
 import json
 import zipfile
@@ -68,3 +69,32 @@ def test_incremental_run(spark, tmp_path):
     assert sorted((r.rec_id, r.word_pos) for r in spark.read.parquet(out).collect()) == [(1, 0), (1, 1), (2, 0), (2, 1)]
     ev = spark.createDataFrame([("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0), ("2024-01-01 01:10:00", "a", 4.0)], "ts string, event_type string, value double")
     assert sorted((r.n, r.total) for r in I.event_windows(ev).collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_byte_ranges(spark, tmp_path):
+    from quirefold.sources.byte_ranges import byte_ranges
+
+    data = bytes(range(256)) * 9
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a.bin").write_bytes(data)
+    (tmp_path / "b" / "empty").write_bytes(b"")
+    (tmp_path / "b" / "two").write_bytes(b"xy")
+    got = byte_ranges(spark, [str(tmp_path)], 100, 7).orderBy("file", "range_no").collect()
+    assert [r.file.rsplit("/", 1)[1] for r in got] == ["a.bin"] * 24 + ["two"]
+    for r in got:
+        assert r.data == (data if r.file.endswith("a.bin") else b"xy")[r.start : r.stop + 7] and r.stop == min(r.start + 100, r.size)
+    assert b"".join(bytes(r.data[: r.stop - r.start]) for r in got[:24]) == data
+
+
+def test_intermediates_are_deleted(spark):
+    from quirefold.session import forget, release, written
+
+    a, b = (written(spark.range(3), n) for n in "ab")
+    assert a.count() == 3
+    forget(a)
+    forget(spark.range(1))  # not a written table
+    assert b.count() == 3
+    folder = b._written_at.removeprefix("file://")
+    assert glob.glob(folder) and not glob.glob(a._written_at.removeprefix("file://"))
+    release(spark)
+    assert not glob.glob(folder)
