@@ -5,19 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirefold.llm.split import solid_texts, split_texts
+from quirefold.llm.split import split_counts, split_texts
 from quirefold.sources.tables import table
 
 
 def _contexts(spark: SparkSession, d: str) -> DataFrame:
-    """Repeated rows count once; rows without an id, or without a text, give nothing."""
-    c = table(spark, d, "page_context", "ctx_id", "full_context", "chunk_size", "overlap")
-    return c.filter("ctx_id is not null and full_context is not null").dropDuplicates(["ctx_id"])
+    return table(spark, d, "page_context", "ctx_id", "full_context", "chunk_size", "overlap")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Contexts over their chunk_size (`long`), and those of them with a stretch over it (`solid`)."""
-    x = solid_texts(_contexts(spark, d))
+    """Contexts that come out in several pieces (`long`), and those of them with a stretch over chunk_size (`solid`)."""
+    x = split_counts(_contexts(spark, d)).filter("pieces > 1")
     kinds = F.when(F.col("solid") > F.col("size"), F.array(F.lit("long"), F.lit("solid"))).otherwise(F.array(F.lit("long")))
     return x.select("ctx_id", F.explode(kinds).alias("kind"))
 

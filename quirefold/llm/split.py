@@ -1,11 +1,16 @@
 """Pieces of oversized texts, cut at natural boundaries with an overlap.
 
-A text is read in ranges. Each range comes with a halo of the text before and after it, so that a worker
-sees every boundary (paragraph, sentence, clause, word end) of its range without the rest of the text. A
-worker follows every cut that could reach its range to the cut that leaves it; these small maps are
-stitched in order of the ranges, which gives each range its real first cut and, from the lengths summed up
-so far, its offset; pieces are then emitted by offset. Texts of one range need none of that and are cut in
-one pass without a shuffle. `split_files` does the same to byte ranges of files nobody loads whole.
+Every text, whether a row or a file nobody loads whole, is cut by ranges. A range has a halo of the text behind it,
+one chunk_size long, so that a worker sees every boundary (paragraph, sentence, clause, word end) a piece that
+begins in its range can end at. A worker
+
+1. makes the range's boundary map: for each place where the first piece of the range may begin, where the path of
+   pieces from there first begins behind the range, and how many pieces begin inside it; paths soon run together, so
+   maps are kept as steps. Boundaries that depend on a run (blanks, closing marks) from before the range are mapped
+   for every state the run may be in, and the range tells how it passes that state on;
+2. maps are stitched: those of a block of ranges are composed in parallel, blocks are chained, and every
+   range of a block gets its first piece's place, its number and, from the lengths summed up so far, its offset;
+3. pieces are emitted by offset from each range and its halo.
 
 Cuts: a piece ends at the last paragraph end in the second half of what it may hold, else the last sentence
 end there, else clause end, else word end, else the last of these (in that order) in the first half, else
@@ -18,26 +23,40 @@ as half of chunk_size.
 from __future__ import annotations
 
 import re
-import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirefold.operators.grouped import fold_groups
+from quirefold.session import written
+from quirefold.sources.byte_ranges import byte_ranges
+
 CHUNK_SIZE, OVERLAP = 1200, 150
-#: Characters of one range; a range's halo is one chunk_size on either side.
-RANGE = 1 << 19
+#: A range of a row's text holds so many chunk_sizes, and so many characters at least.
+SPAN, RANGE = 4, 1024
+#: Ranges whose maps are composed in one block.
+BLOCK = 256
 
 #: The marks that end a stretch.
 MARKS = ".!?;:,。！？、，；।"
-_SOLID = re.compile(rf"[^\s{MARKS}]+")
+_SPLIT = re.compile(rf"[\s{MARKS}]+")
+ENDS, CLOSERS = ".!?…", "\"'”’»)]"
+FULL_ENDS, FULL_CLOSERS = "。！？।", "」』”’\"）》"
 _PARA = re.compile(r"\n[^\S\n]*\n\s*")
-_SENT = re.compile(r"[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？।]+[」』”’\"）》]*")
+_SENT = re.compile(rf"[{ENDS}]+[{re.escape(CLOSERS)}]*(?=\s)|[{FULL_ENDS}]+[{re.escape(FULL_CLOSERS)}]*")
 _CLAUSE = re.compile(r"[;:,](?=\s)|[、，；]")
 _WORD = re.compile(r"\s+")
+_MARK = regex.compile(r"\p{M}+")
 CLASSES = ("paragraph", "sentence", "clause", "word")
+#: What may come before a range, as the shortest text with the same effect: nothing, blanks with no, one or more
+#: line ends, a sentence end of either kind that closing marks may follow.
+STATES = ("", " ", "\n", "\n\n", ".", "。")
+_RUN = set(ENDS + CLOSERS + FULL_ENDS + FULL_CLOSERS)
 
 
 def sizes(chunk_size: int | None, overlap: int | None) -> tuple[int, int]:
@@ -48,11 +67,22 @@ def sizes(chunk_size: int | None, overlap: int | None) -> tuple[int, int]:
 
 
 class Cutter:
-    """Cuts of a window of text; offsets are those of the window. `ends`: the window ends the text."""
+    """Cuts of a window of text; offsets are those of the window. `lead`: the state before it. `ends`: the
+    window ends the text; else its last boundaries may be cut off, and its end is none."""
 
-    def __init__(self, text: str, size: int, over: int, ends: bool = True) -> None:
+    def __init__(self, text: str, size: int, over: int, ends: bool = True, lead: str = "") -> None:
         self.text, self.size, self.over, self.n, self.ends = text, size, over, len(text), ends
-        self.tables = [[m.end() for m in r.finditer(text)] for r in (_PARA, _SENT, _CLAUSE, _WORD)]
+        k, seen = len(lead), lead + text
+        self.tables = [[p for m in r.finditer(seen) if 0 < (p := m.end() - k) and (ends or p < self.n)] for r in (_PARA, _SENT, _CLAUSE, _WORD)]
+        self.marks = [(m.start(), m.end()) for m in _MARK.finditer(text)] if not text.isascii() else []
+        self._mark_starts = [a for a, _ in self.marks]
+
+    def _hard(self, low: int, limit: int) -> int:
+        """The limit, or where the marks that combine over it begin, if that is behind low."""
+        i = bisect_right(self._mark_starts, limit) - 1
+        if i >= 0 and self.marks[i][1] > limit and self.marks[i][0] - 1 > low:
+            return self.marks[i][0] - 1
+        return limit
 
     def cut(self, start: int) -> tuple[int, str]:
         """Where the piece from start ends, and at what kind of boundary."""
@@ -65,276 +95,322 @@ class Cutter:
                 i = bisect_right(table, below)
                 if i and table[i - 1] > least:
                     return table[i - 1], kind
-        e = limit
-        while e > low + 1 and e < self.n and unicodedata.category(self.text[e])[0] == "M":
-            e -= 1
-        return (e if e < self.n and unicodedata.category(self.text[e])[0] != "M" else limit), "hard"
-
-    def next(self, start: int) -> int:
-        return self.cut(start)[0] - self.over
+        return self._hard(low, limit), "hard"
+
+    def cuts(self, upto: int) -> np.ndarray:
+        """The cuts from all starts below upto; -1 where the piece ends the text."""
+        s = np.arange(upto)
+        limit, low = s + self.size, s + self.over
+        half = np.maximum(low, s + self.size // 2)
+        out = np.zeros(upto, np.int64)
+        for least, below in ((half, limit), (low, half)):
+            for table in self.tables:
+                if table:
+                    t = np.array([-1, *table])
+                    got = t[np.searchsorted(t, below, "right") - 1]
+                    out = np.where((out == 0) & (got > least), got, out)
+        for x in np.flatnonzero(out == 0) if self.marks else ():
+            out[x] = self._hard(int(low[x]), int(limit[x]))
+        out = np.where(out == 0, limit, out)
+        return np.where(self.n - s <= self.size, -1, out) if self.ends else out
+
+
+def state_after(text: str) -> list[int]:
+    """For each state before a text, the state after it."""
+    i = len(text)
+    while i and (text[i - 1] in _RUN or text[i - 1].isspace()):
+        i -= 1
+
+    def run(s: int) -> int:
+        for c in text[i:]:
+            if c.isspace():
+                s = 3 if s == 3 or s == 2 and c == "\n" else 2 if s == 2 or c == "\n" else 1
+            else:
+                s = 4 if c in ENDS else 5 if c in FULL_ENDS else s if s == 4 and c in CLOSERS or s == 5 and c in FULL_CLOSERS else 0
+        return s
+
+    return [run(0)] * len(STATES) if i else [run(s) for s in range(len(STATES))]
 
 
 def solid_runs(text: str) -> tuple[int, int, int]:
     """Longest stretch without white space or marks, and those at the start and the end."""
-    longest = first = last = 0
-    for m in _SOLID.finditer(text):
-        k = m.end() - m.start()
-        longest = max(longest, k)
-        if m.start() == 0:
-            first = k
-        if m.end() == len(text):
-            last = k
-    return longest, first, last
+    lens = [len(x) for x in _SPLIT.split(text)]
+    return max(lens), lens[0], lens[-1]
 
 
-PIECES = "ctx_id long, piece_no int, start_pos long, end_pos long, cut string, piece string"
-_ARROW = pa.schema([("ctx_id", pa.int64()), ("piece_no", pa.int32()), ("start_pos", pa.int64()), ("end_pos", pa.int64()), ("cut", pa.string()), ("piece", pa.string())])
+# ---- boundary maps ------------------------------------------------------------------------------------
 
+#: A map: the first places (from the range's start) of its steps; where their paths go on behind the range
+#: (from its end; -1: the text ends in it); how many pieces begin in it.
+Steps = tuple[list[int], list[int], list[int]]
 
-def _short(df: DataFrame) -> DataFrame:
-    """Pieces of texts of one range: a single pass."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        held = 0
-        for b in batches:
-            for key, text, size, over in zip(*[c.to_pylist() for c in b.columns]):
-                c, start, no = Cutter(text, *sizes(size, over)), 0, 0
-                while True:
-                    e, kind = c.cut(start)
-                    rows.append((key, no, start, e, kind, text[start:e]))
-                    held += e - start
-                    if kind == "end":
-                        break
-                    start, no = e - c.over, no + 1
-                    if held > 1 << 22:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-                        rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-    return df.select("ctx_id", "text", "chunk_size", "overlap").mapInArrow(run, PIECES)
-
-
-def ranges_of(df: DataFrame, span: int = RANGE) -> DataFrame:
-    """Ranges of long texts with their halos: `at` is the range's offset, `pad` the length of the halo before."""
-    size = F.when(F.col("chunk_size") >= 1, F.col("chunk_size")).otherwise(CHUNK_SIZE).cast("long")
-    df = df.withColumn("n", F.length("text").cast("long")).withColumn("halo", size)
-    r = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / span))).alias("range_no"))
-    at = F.col("range_no") * span
-    pad = F.least(at, F.col("halo"))
-    return r.select(
-        "ctx_id", "chunk_size", "overlap", "n", "range_no", at.alias("at"), pad.alias("pad"),
-        F.substring("text", (at - pad + 1).cast("int"), (pad + F.lit(span) + F.col("halo") + 2).cast("int")).alias("win"),
-    )
-
-
-def _exit_map(win: str, pad: int, at: int, n: int, size: int, over: int, span: int) -> tuple[list[int], list[int], list[int]]:
-    """For each start that may be the first one inside the range: where the path from it first starts behind
-    the range (-1: the text ends), and how many pieces begin inside the range."""
-    base, stop = at - pad, min(at + span, n)
-    c = Cutter(win, size, over, base + len(win) >= n)
-    if at == 0:
-        entries = {0}
-    else:  # a start in the range follows a cut in the window of one chunk before or behind its beginning
-        # a natural cut is a boundary; a hard cut may be anywhere
-        entries = set(range(at, min(at + size, stop)))
-    out: dict[int, tuple[int, int]] = {}
-    for s in sorted(entries, reverse=True):
-        path, x = [], s
-        while x < stop and x not in out:
-            e, kind = c.cut(x - base)
+def exit_map(win: str, core: int, size: int, over: int, ends: bool, lead: str, first: bool) -> Steps:
+    """The map of a range of `core` characters at the start of win. first: the range begins the text."""
+    c = Cutter(win, size, over, ends, lead)
+    known: dict[int, tuple[int, int]] = {}  # places on paths: where they go on, pieces from there
+
+    def follow(x: int, e: int) -> tuple[int, int]:
+        """The same for a place x whose piece ends at e (-1: with the text)."""
+        path = [x]
+        x = e - over if e >= 0 else -1
+        while 0 <= x < core and x not in known:
             path.append(x)
-            x = -1 if kind == "end" else base + e - over
-            if x < 0:
-                break
-        ex, k = out[x] if x in out else (x, 0)
+            e, how = c.cut(x)
+            x = -1 if how == "end" else e - over
+        out, n = known[x] if 0 <= x < core else (x - core if x >= 0 else -1, 0)
         for p in reversed(path):
-            k += 1
-            out[p] = (ex, k)
-    keys = sorted(entries)
-    return keys, [out[s][0] for s in keys], [out[s][1] for s in keys]
-
+            n += 1
+            known[p] = (out, n)
+        return out, n
+
+    keys, k_out, k_num, last = [], [], [], None
+    for s, e in enumerate(c.cuts(1 if first else min(size, core)).tolist()):
+        if e == last:  # neighbours mostly end at the same place
+            continue
+        (out, n), last = follow(s, e), e
+        if not keys or out != k_out[-1] or n != k_num[-1]:
+            keys.append(s)
+            k_out.append(out)
+            k_num.append(n)
+    return keys, k_out, k_num
+
+
+def through(steps: Steps, chars: int, x: int) -> tuple[int, int]:
+    """Where a path that enters at x goes on behind the range, and the pieces it leaves there."""
+    if x < 0:
+        return -1, 0
+    if x >= chars:
+        return x - chars, 0
+    i = bisect_right(steps[0], x) - 1
+    return steps[1][i], steps[2][i]
+
+
+def compose(a: Steps, b: Steps, b_chars: int) -> Steps:
+    """The map of two ranges that follow one another."""
+    keys, out, num = [], [], []
+    for k, x, n in zip(*a):
+        y, m = through(b, b_chars, x)
+        if not keys or y != out[-1] or n + m != num[-1]:
+            keys.append(k)
+            out.append(y)
+            num.append(n + m)
+    return keys, out, num
+
+
+_MAPS = ("range_no long, chars long, states array<int>, alt array<int>, steps array<array<array<int>>>, "
+         "solid long, head long, tail long")
+_MAPS_ARROW = [("range_no", pa.int64()), ("chars", pa.int64()), ("states", pa.list_(pa.int32())), ("alt", pa.list_(pa.int32())),
+               ("steps", pa.list_(pa.list_(pa.list_(pa.int32())))), ("solid", pa.int64()), ("head", pa.int64()), ("tail", pa.int64())]
+
+
+def range_maps(ranges: DataFrame, key: str) -> DataFrame:
+    """The boundary map of every range: its states passed on, a map for each state before it (`alt` tells which of
+    `steps`), and its solid stretches."""
+    kind = dict(ranges.dtypes)[key]
 
-def _long(df: DataFrame, span: int) -> DataFrame:
-    """Pieces of texts of several ranges: exit maps by range, stitched by text, emitted by range."""
-    ranges = ranges_of(df, span)
-    maps_type = "ctx_id long, range_no long, at long, entry array<long>, exit array<long>, pieces array<long>"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            keys, nos, wins, cores, ends, sz, ov = (c.to_pylist() for c in b.columns)
+            for no, win, core, end, size, over in zip(nos, wins, cores, ends, sz, ov):
+                text = win[:core]
+                alone = not core or not (text[0] in _RUN or text[0].isspace())  # no run goes on into the range
+                steps, alt = [], []
+                for lead in STATES[:1] if no == 0 or alone else STATES:
+                    got = [list(x) for x in exit_map(win, core, size, over, end, lead, no == 0)]
+                    if got not in steps:
+                        steps.append(got)
+                    alt.append(steps.index(got))
+                out.append((no, core, state_after(text), alt * (len(STATES) // len(alt)), steps, *solid_runs(text)))
+            cols = zip(*out) if out else [[]] * len(_MAPS_ARROW)
+            yield pa.RecordBatch.from_arrays([b.column(0)] + [pa.array(c, t) for c, (_, t) in zip(cols, _MAPS_ARROW)], names=[key] + [n for n, _ in _MAPS_ARROW])
+
+    return ranges.select(key, "range_no", "win", "core", "ends", "size", "over").mapInArrow(run, f"{key} {kind}, {_MAPS}")
+
+
+# ---- stitching ----------------------------------------------------------------------------------------
+
+
+def _join_solid(a: tuple, b: tuple) -> tuple:
+    """(longest, head, tail, chars) of two stretches of text that follow one another."""
+    return max(a[0], b[0], a[2] + b[1]), a[1] + b[1] if a[1] == a[3] else a[1], a[2] + b[2] if b[2] == b[3] else b[2], a[3] + b[3]
+
+
+def _block(key: tuple, rows: list[tuple]) -> list[tuple]:
+    """The map of a block: as of a range."""
+    states, maps, solid = list(range(len(STATES))), None, None
+    for _, chars, after, alt, steps, longest, head, tail in rows:
+        mine = [tuple(s) for s in steps]
+        if maps is None:
+            maps, solid = [mine[a] for a in alt], (longest, head, tail, chars)
+        else:
+            done: dict = {}
+            new = []
+            for m, s in zip(maps, states):
+                k = (id(m), alt[s])
+                if k not in done:
+                    done[k] = compose(m, mine[alt[s]], chars)
+                new.append(done[k])
+            maps, solid = new, _join_solid(solid, (longest, head, tail, chars))
+        states = [after[s] for s in states]
+    distinct: list = []
+    for m in maps:
+        if m not in distinct:
+            distinct.append(m)
+    return [(*key, solid[3], states, [distinct.index(m) for m in maps], [[list(x) for x in m] for m in distinct], *solid[:3])]
+
+
+def _chain(key: tuple, rows: list[tuple]) -> list[tuple]:
+    """Where each block's first piece begins, the state before it, the pieces and characters before it; and, as
+    block -1, the whole text's pieces, characters and longest solid stretch."""
+    out, x, state, pieces, at, solid = [], 0, 0, 0, 0, (0, 0, 0, 0)
+    for block, chars, after, alt, steps, longest, head, tail in rows:
+        out.append((*key, block, x, state, pieces, at, None))
+        x, n = through(tuple(steps[alt[state]]), chars, x)
+        state, pieces, at, solid = after[state], pieces + n, at + chars, _join_solid(solid, (longest, head, tail, chars))
+    return [*out, (*key, -1, x, state, pieces, at, solid[0])]
+
+
+def _spread(key: tuple, rows: list[tuple]) -> list[tuple]:
+    """The same for each range of a block."""
+    out, (x, state, pieces, at) = [], rows[0][5:9]
+    for no, chars, after, alt, steps, *_ in rows:
+        y, n = through(tuple(steps[alt[state]]), chars, x)
+        if n:
+            out.append((key[0], no, x, state, pieces, at))
+        x, state, pieces, at = y, after[state], pieces + n, at + chars
+    return out
+
+
+def stitch(maps: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(ranges' first pieces, texts): key, range_no, first, state, before, at; and key, pieces, chars, solid.
+
+    maps has to be a written table, as it is read twice."""
+    kind = dict(maps.dtypes)[key]
+    m = maps.withColumn("block", F.floor(F.col("range_no") / BLOCK))
+    cols = [c for c in maps.columns if c not in (key, "range_no")]
+    blocks = fold_groups(m.select(key, "block", "range_no", *cols), [key, "block"], ["range_no"], _block, f"{key} {kind}, {_MAPS.replace('range_no', 'block')}")
+    starts = written(fold_groups(blocks, [key], ["block"], _chain, f"{key} {kind}, block long, first long, state int, before long, at long, solid long"), "starts")
+    texts = starts.filter("block = -1").select(key, F.col("before").alias("pieces"), F.col("at").alias("chars"), "solid")
+    x = m.select(key, "block", "range_no", "chars", "states", "alt", "steps").join(starts.drop("solid"), [key, "block"])
+    firsts = fold_groups(x, [key, "block"], ["range_no"], _spread, f"{key} {kind}, range_no long, first long, state int, before long, at long")
+    return firsts, texts
+
+
+def emit(ranges: DataFrame, firsts: DataFrame, key: str) -> DataFrame:
+    """key, piece_no, start_pos, end_pos, cut, piece: the pieces that begin in each range."""
+    kind = dict(ranges.dtypes)[key]
+    types = [("piece_no", pa.int64()), ("start_pos", pa.int64()), ("end_pos", pa.int64()), ("cut", pa.string()), ("piece", pa.string())]
 
-    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                k, ex, ps = _exit_map(r["win"], r["pad"], r["at"], r["n"], *sizes(r["chunk_size"], r["overlap"]), span)
-                yield pa.RecordBatch.from_pylist([{"ctx_id": r["ctx_id"], "range_no": r["range_no"], "at": r["at"], "entry": k, "exit": ex, "pieces": ps}],
-                                                 schema=pa.schema([("ctx_id", pa.int64()), ("range_no", pa.int64()), ("at", pa.int64())] + [(x, pa.list_(pa.int64())) for x in ("entry", "exit", "pieces")]))
-
-    def stitch(key, rows):
-        import pandas as pd
-
-        out, start, before = [], 0, 0
-        for r in rows.sort_values("range_no").itertuples():
-            if start < 0:
-                break
-            table = {int(k): (int(e), int(p)) for k, e, p in zip(r.entry, r.exit, r.pieces)}
-            if start not in table:  # a piece passes over the whole range
-                continue
-            out.append((key[0], r.range_no, start, before))
-            start, k = table[start]
-            before += k
-        return pd.DataFrame(out, columns=["ctx_id", "range_no", "first", "before"])
-
-    firsts = ranges.mapInArrow(maps, maps_type).groupBy("ctx_id").applyInPandas(stitch, "ctx_id long, range_no long, first long, before long")
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows: list[tuple] = []
+            held = 0
+            for name, win, core, ends, size, over, first, state, before, at in zip(*[c.to_pylist() for c in b.columns]):
+                c, x = Cutter(win, size, over, ends, STATES[state]), first
+                while 0 <= x < core:
+                    e, how = c.cut(x)
+                    rows.append((name, before, at + x, at + e, how, win[x:e]))
+                    held, before = held + e - x, before + 1
+                    x = e - over if how != "end" else -1
+                if held > 1 << 22:
+                    yield out(rows)
+                    rows, held = [], 0
+            if rows:
+                yield out(rows)
+
+    def out(rows):
+        k = pa.array([r[0] for r in rows], pa.string() if kind == "string" else pa.int64())
+        return pa.RecordBatch.from_arrays([k] + [pa.array(c, t) for c, (_, t) in zip(list(zip(*rows))[1:], types)], names=[key] + [n for n, _ in types])
+
+    x = ranges.join(firsts, [key, "range_no"]).select(key, "win", "core", "ends", "size", "over", "first", "state", "before", "at")
+    return x.mapInArrow(run, f"{key} {kind}, piece_no long, start_pos long, end_pos long, cut string, piece string")
+
+
+# ---- texts in rows ------------------------------------------------------------------------------------
+
+
+def text_ranges(df: DataFrame, text: str, span: int | None = None) -> DataFrame:
+    """The ranges of every text longer than its chunk_size: ctx_id, range_no, win (the range and its halo), core (the
+    range's characters), ends, size, over. span: characters of a range, two chunk_sizes at least; by default SPAN chunk_sizes. Repeated rows of a ctx_id count once."""
+    names = ["ctx_id", "range_no", "win", "core", "ends", "size", "over"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                size, over = sizes(r["chunk_size"], r["overlap"])
-                base, win = r["at"] - r["pad"], r["win"]
-                c, x, no, rows = Cutter(win, size, over, base + len(win) >= r["n"]), r["first"], r["before"], []
-                while x < min(r["at"] + span, r["n"]):
-                    e, kind = c.cut(x - base)
-                    rows.append((r["ctx_id"], no, x, base + e, kind, win[x - base : e]))
-                    no += 1
-                    if kind == "end":
-                        break
-                    x = base + e - over
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-    return ranges.join(firsts, ["ctx_id", "range_no"]).mapInArrow(emit, PIECES)
-
-
-def split_texts(df: DataFrame, text: str = "full_context", span: int = RANGE) -> DataFrame:
-    """The pieces of every text longer than its chunk_size; df has ctx_id, the text, chunk_size and overlap."""
+            rows: list[tuple] = []
+            held = 0
+            for i in range(b.num_rows):
+                key, t, size, over = (c[i].as_py() for c in b.columns)
+                size, over = sizes(size, over)
+                step = max(span or max(RANGE, SPAN * size), 2 * size)  # so that a piece never passes over a range
+                for no, a in enumerate(range(0, len(t), step)):
+                    rows.append((key, no, t[a : a + step + size + 2], min(step, len(t) - a), a + step + size + 2 >= len(t), size, over))
+                    held += step + size
+                    if held > 1 << 22:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows), types)], names=names)
+                        rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows), types)], names=names)
+
     size = F.when(F.col("chunk_size") >= 1, F.col("chunk_size")).otherwise(CHUNK_SIZE)
-    df = df.select("ctx_id", F.col(text).alias("text"), "chunk_size", "overlap").filter(F.length("text") > size)
-    return _short(df.filter(F.length("text") <= span)).unionByName(_long(df.filter(F.length("text") > span), span))
+    x = df.select("ctx_id", F.col(text).alias("text"), "chunk_size", "overlap").filter("ctx_id is not null").filter(F.length("text") > size).dropDuplicates(["ctx_id"])
+    return x.mapInArrow(run, "ctx_id long, range_no long, win string, core int, ends boolean, size int, over int")
 
 
-def solid_texts(df: DataFrame, text: str = "full_context", span: int = RANGE) -> DataFrame:
-    """ctx_id, n_chars and the longest solid stretch of every text longer than its chunk_size.
+def split_texts(df: DataFrame, text: str = "full_context", span: int | None = None) -> DataFrame:
+    """The pieces of every text longer than its chunk_size; df has ctx_id, the text, chunk_size and overlap.
 
-    Workers give each range's longest, first and last stretch; stretches that pass over range ends are
-    summed up in order."""
-    size = F.when(F.col("chunk_size") >= 1, F.col("chunk_size")).otherwise(CHUNK_SIZE)
-    df = df.select("ctx_id", F.col(text).alias("text"), size.cast("long").alias("size")).filter(F.length("text") > F.col("size"))
-    df = df.withColumn("n", F.length("text").cast("long"))
-    parts = df.select("ctx_id", "size", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / span))).alias("range_no"), "text")
-    parts = parts.select("ctx_id", "size", "n", "range_no", F.substring("text", (F.col("range_no") * span + 1).cast("int"), span).alias("win"))
+    Ranges are written once: their reading spreads those of one long text over workers."""
+    ranges = written(text_ranges(df, text, span), "ranges")
+    firsts, _ = stitch(written(range_maps(ranges, "ctx_id"), "maps"), "ctx_id")
+    return emit(ranges, firsts, "ctx_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            runs = [solid_runs(t) for t in b.column(4).to_pylist()]
-            lens = [len(t) for t in b.column(4).to_pylist()]
-            cols = [pa.array(x, pa.int64()) for x in (zip(*runs) if runs else ((), (), ()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], *cols, pa.array(lens, pa.int64())], names=["ctx_id", "size", "n", "range_no", "longest", "head", "tail", "len"])
 
-    got = parts.mapInArrow(run, "ctx_id long, size long, n long, range_no long, longest long, head long, tail long, len long")
-    merge = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("range_no", "longest", "head", "tail", "len"))),
-        F.struct(F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("open")),
-        lambda s, r: F.struct(
-            F.greatest(s["best"], r["longest"], s["open"] + r["head"]).alias("best"),
-            F.when(r["tail"] == r["len"], s["open"] + r["len"]).otherwise(r["tail"]).alias("open"),
-        ),
-    )["best"]
-    one = got.filter(F.col("n") <= span).select("ctx_id", "size", "n", F.col("longest").alias("solid"))
-    more = got.filter(F.col("n") > span).groupBy("ctx_id", "size", "n").agg(merge.alias("solid"))
-    return one.unionByName(more)
+def split_counts(df: DataFrame, text: str = "full_context", span: int | None = None) -> DataFrame:
+    """ctx_id, size, pieces, chars, and the longest solid stretch of every text longer than its chunk_size, from the
+    same ranges, maps and stitching; nothing is emitted."""
+    ranges = written(text_ranges(df, text, span), "ranges")
+    _, texts = stitch(written(range_maps(ranges, "ctx_id"), "maps"), "ctx_id")
+    return texts.join(ranges.filter("range_no = 0").select("ctx_id", "size"), "ctx_id")
 
 
-# ---- files -----------------------------------------------------------------------------------------
+# ---- files --------------------------------------------------------------------------------------------
 
 
-def split_files(spark: SparkSession, files: list[str], chunk_size: int = CHUNK_SIZE, overlap: int = OVERLAP, range_bytes: int = 64 << 20) -> DataFrame:
-    """Pieces of UTF-8 text files, however large: file, piece_no, start_pos, end_pos (characters), cut, piece.
+def file_ranges(spark: SparkSession, files: list[str], chunk_size: int, overlap: int, range_bytes: int) -> DataFrame:
+    """The ranges of UTF-8 files, from byte ranges with a halo of four bytes a character; a character belongs to
+    the range its first byte is in. Bytes that aren't UTF-8 are read as U+FFFD."""
+    size, over = sizes(chunk_size, overlap)
+    names = ["file", "range_no", "win", "core", "ends", "size", "over"]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
 
-    Files must be readable at the same path by every worker. Workers read byte ranges: first each counts its
-    range's characters, whose prefix sums give the range's character offset; then each reads its range with
-    halos of 4 bytes a character and makes its exit map; the maps are stitched and the pieces emitted."""
-    import os
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, no, a, stop, n, raw in zip(*[c.to_pylist() for c in b.columns]):
+                inner = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+                lo = next(i for i in range(5) if i == 4 or not inner(i)) if a else 0
+                hi = stop - a
+                hi += next(i for i in range(5) if i == 4 or not inner(hi + i))
+                end = len(raw)
+                if a + end < n:  # the last character of the halo may be cut off
+                    end = max(hi, end - 4)
+                    while end > hi and inner(end):
+                        end -= 1
+                core, after = raw[lo:hi].decode("utf-8", "replace"), raw[hi:end].decode("utf-8", "replace")
+                row = (file, no, core + after[: size + 2], len(core), a + end >= n and len(after) <= size + 2, size, over)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+
+    x = byte_ranges(spark, files, range_bytes, 4 * (size + 4))
+    return x.mapInArrow(run, "file string, range_no long, win string, core int, ends boolean, size int, over int")
+
+
+def split_files(spark: SparkSession, files: list[str], chunk_size: int = CHUNK_SIZE, overlap: int = OVERLAP, range_bytes: int = 1 << 20) -> DataFrame:
+    """Pieces of UTF-8 text files, however large: file, piece_no, start_pos, end_pos (characters), cut, piece.
 
-    size, over = sizes(chunk_size, overlap)
-    plan = [(f, i, a, min(a + range_bytes, n)) for f in files for n in [os.path.getsize(f)] for i, a in enumerate(range(0, n, range_bytes))]
-    plan_df = spark.createDataFrame(plan, "file string, range_no long, a long, b long").repartition(max(1, len(plan)))
-
-    def aligned(f, a, b, halo):
-        """Window of the range [a, b): text, characters of the halo before, characters of the range."""
-        with open(f, "rb") as h:
-            lo = max(0, a - 4 * halo)
-            h.seek(lo)
-            raw = h.read(b - lo + 4 * halo + 8)
-        whole = os.path.getsize(f)
-
-        def at(p):  # first character start at or behind byte p
-            p -= lo
-            while p < len(raw) and raw[p] & 0xC0 == 0x80:
-                p += 1
-            return p
-
-        s, e0, e1 = at(lo), at(a), min(len(raw), at(min(b, whole)))
-        end = len(raw)
-        if lo + end < whole:
-            while end and raw[end - 1] & 0xC0 == 0x80:
-                end -= 1
-            end -= 1
-        before = raw[s:e0].decode("utf-8", "replace")
-        core = raw[e0:e1].decode("utf-8", "replace")
-        after = raw[e1:end].decode("utf-8", "replace")
-        return before[-halo:] if halo else "", core, after[: halo + 2]
-
-    def count(rows):
-        for r in rows:
-            for x in r.itertuples():
-                yield _frame([(x.file, x.range_no, x.a, x.b, len(aligned(x.file, x.a, x.b, 0)[1]))], ["file", "range_no", "a", "b", "chars"])
-
-    def _frame(rows, cols):
-        import pandas as pd
-
-        return pd.DataFrame(rows, columns=cols)
-
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("file").orderBy("range_no")
-    sums = plan_df.mapInPandas(count, "file string, range_no long, a long, b long, chars long")
-    sums = sums.withColumn("at", F.sum("chars").over(w) - F.col("chars")).withColumn("n", F.sum("chars").over(Window.partitionBy("file")))
-
-    def maps(rows):
-        for r in rows:
-            for x in r.itertuples():
-                before, core, after = aligned(x.file, x.a, x.b, size)
-                k, ex, ps = _exit_map(before + core + after, len(before), x.at, x.n, size, over, len(core))
-                yield _frame([(x.file, x.range_no, k, ex, ps)], ["file", "range_no", "entry", "exit", "pieces"])
-
-    def stitch(rows):
-        out, start, before = [], 0, 0
-        for r in rows.sort_values("range_no").itertuples():
-            if start < 0:
-                break
-            table = {int(k): (int(e), int(p)) for k, e, p in zip(r.entry, r.exit, r.pieces)}
-            if start in table:
-                out.append((r.file, r.range_no, start, before))
-                start, k = table[start]
-                before += k
-        return _frame(out, ["file", "range_no", "first", "before"])
-
-    sums = sums.repartition("file", "range_no")
-    firsts = sums.mapInPandas(maps, "file string, range_no long, entry array<long>, exit array<long>, pieces array<long>")
-    firsts = firsts.groupBy("file").applyInPandas(stitch, "file string, range_no long, first long, before long")
-
-    def emit(rows):
-        for r in rows:
-            for x in r.itertuples():
-                before, core, after = aligned(x.file, x.a, x.b, size)
-                win, base, out = before + core + after, x.at - len(before), []
-                c, p, no = Cutter(win, size, over, base + len(win) >= x.n), x.first, x.before
-                while p < x.at + len(core):
-                    e, kind = c.cut(p - base)
-                    out.append((x.file, no, p, base + e, kind, win[p - base : e]))
-                    no += 1
-                    if kind == "end":
-                        break
-                    p = base + e - over
-                yield _frame(out, ["file", "piece_no", "start_pos", "end_pos", "cut", "piece"])
-
-    return sums.join(firsts, ["file", "range_no"]).mapInPandas(emit, "file string, piece_no int, start_pos long, end_pos long, cut string, piece string")
+    A range holds two chunk_sizes of four-byte characters at least. Bytes are read twice, for the maps and for the pieces; no worker
+    holds more than a range and its halo."""
+    ranges = file_ranges(spark, files, chunk_size, overlap, max(range_bytes, 8 * sizes(chunk_size, overlap)[0]))
+    firsts, _ = stitch(written(range_maps(ranges, "file"), "maps"), "file")
+    return emit(ranges, firsts, "file")
