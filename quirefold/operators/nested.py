@@ -1,12 +1,16 @@
 """Deeply nested records as related flat tables (shared inlining).
 
-The schema is read as a graph of struct types. A struct that occurs once below its parent is inlined
-into the parent's table; one that is repeated (in an array or map), or that is shared by several places,
-gets a table of its own, whose rows point to the parent's row. Catalyst does the flattening
-(`posexplode`), so that only the columns asked for are read.
-
-Null and empty arrays give no child rows; null elements are no rows but count as positions; repeated
-records count once; extra columns stay on the root table.
+The schema is read as a graph of struct types. A struct that occurs once below its parent is inlined into the parent's
+table. What is repeated gets a table of its own, whose rows point to the parent's row: arrays of structs, of
+scalars (column `value`) and of arrays, maps (column `<field>_key`), and structs whose arrays run in parallel and so
+are the columns of one repeated element. A struct type shared by several places gets one table for all of
+them, whose `slot` names the place; what is repeated inside it points to that row. Spark's types can't be
+recursive, so no table points to itself. Catalyst does the flattening (`posexplode`), so that only the columns asked
+for are read.
+
+Null and empty arrays and maps give no child rows; null elements are no rows but count as positions; repeated records
+count once; extra columns stay on the root table. A column with the name of one of its table's keys gets the table's
+name as a prefix.
 """
 
 from __future__ import annotations
@@ -33,85 +37,111 @@ STAGE_TYPE = T.StructType(
 
 @dataclass
 class Node:
-    """A table to be: its path from the parent's row, how it repeats, its inlined columns, its children."""
+    """A table to be: its path from the parent's row, how it repeats (`one`, `array`, `map`, `parallel`, `shared`), its
+    inlined columns, its children."""
 
     name: str
     path: tuple[str, ...] = ()
-    repeated: bool = False
+    how: str = "one"
+    #: The elements are no structs and stand in the column `value`.
+    bare: bool = False
     columns: list[tuple[str, tuple[str, ...]]] = field(default_factory=list)
     children: list[Node] = field(default_factory=list)
     #: Shared structs: the places (slots) they occur at, each a path.
     slots: list[tuple[str, ...]] = field(default_factory=list)
+    #: Parallel arrays: their fields.
+    fields: list[T.StructField] = field(default_factory=list)
 
 
-def schema_graph(schema: T.StructType, root: str = "root") -> Node:
-    """The tables that shared inlining gives for a schema."""
+def schema_graph(schema: T.StructType, root: str = "root", parallel: Iterable[str] = ()) -> Node:
+    """The tables that shared inlining gives for a schema. parallel: dotted paths of structs whose arrays are parallel."""
     uses: dict[str, int] = {}
+    zipped = {tuple(p.split(".")) for p in parallel}
 
-    def count(t: T.DataType) -> None:
+    def count(t: T.DataType, field_: bool = False) -> None:
         if isinstance(t, T.StructType):
+            if field_:
+                uses[t.simpleString()] = uses.get(t.simpleString(), 0) + 1
             for f in t.fields:
-                if isinstance(f.dataType, T.StructType):
-                    uses[f.dataType.simpleString()] = uses.get(f.dataType.simpleString(), 0) + 1
-                count(f.dataType)
+                count(f.dataType, True)
         elif isinstance(t, T.ArrayType):
             count(t.elementType)
+        elif isinstance(t, T.MapType):
+            count(t.valueType)
 
     count(schema)
 
-    def build(t: T.StructType, name: str, path: tuple[str, ...], repeated: bool) -> Node:
-        node, shared = Node(name, path, repeated), {}
+    def build(t: T.DataType, node: Node, whole: tuple[str, ...]) -> Node:
+        """Fills a node from its rows' type; whole: the path from the root."""
+        shared: dict = {}
+        node.bare = not isinstance(t, T.StructType)
+
+        def repeated(d: T.DataType, how: str, at: tuple[str, ...], fields: Iterable[T.StructField] = ()) -> None:
+            node.children.append(build(d, Node("_".join((node.name, *at)), at, how, fields=list(fields)), whole + at))
 
         def walk(s: T.StructType, at: tuple[str, ...]) -> None:
             for f in s.fields:
                 p, d = (*at, f.name), f.dataType
-                if isinstance(d, T.StructType):
-                    if uses[d.simpleString()] > 1:
-                        shared.setdefault(d.simpleString(), (d, []))[1].append(p)
-                    else:
-                        walk(d, p)
-                elif isinstance(d, T.ArrayType) and isinstance(d.elementType, T.StructType):
-                    node.children.append(build(d.elementType, f"{name}_{f.name}", p, True))
+                if isinstance(d, T.StructType) and whole + p in zipped:
+                    repeated(T.StructType([T.StructField(x.name, x.dataType.elementType) for x in d.fields]), "parallel", p, d.fields)
+                elif isinstance(d, T.StructType) and uses[d.simpleString()] > 1:
+                    shared.setdefault(d.simpleString(), (d, []))[1].append(p)
+                elif isinstance(d, T.StructType):
+                    walk(d, p)
+                elif isinstance(d, T.ArrayType):
+                    repeated(d.elementType, "array", p)
+                elif isinstance(d, T.MapType):
+                    repeated(d.valueType, "map", p)
                 else:
                     node.columns.append(("_".join(p), p))
 
-        walk(t, ())
-        for d, places in shared.values():
-            child = Node(f"{name}_shared{len(node.children)}", (), False, [(f.name, (f.name,)) for f in d.fields], [], places)
-            node.children.append(child)
+        walk(T.StructType([T.StructField("value", t)]) if node.bare else t, ())
+        for i, (d, places) in enumerate(shared.values()):
+            node.children.append(build(d, Node(f"{node.name}_shared{i}", (), "shared", slots=places), whole))
         return node
 
-    return build(schema, root, (), False)
+    return build(schema, Node(root), ())
 
 
-def shred(df: DataFrame, key: str, root: str = "root", only: Iterable[str] | None = None) -> dict[str, DataFrame]:
+def shred(df: DataFrame, key: str, root: str = "root", only: Iterable[str] | None = None, parallel: Iterable[str] = ()) -> dict[str, DataFrame]:
     """The tables of df by name: the root's, and one of each repeated or shared element.
 
-    A child's row holds the root's `key`, `parent` (its parent's position; null below the root) as
-    `<parent>_pos` columns and its own `pos`, which together point to the parent's row. `only` names the
-    tables wanted."""
-    graph, out = schema_graph(df.schema, root), {}
+    A child's row holds the root's `key`, and the `<field>_pos` (maps: `<field>_key`) or `slot` of each element on
+    the way down, which together point to the parent's row. `only` names the tables wanted."""
+    graph, out = schema_graph(df.schema, root, parallel), {}
     wanted = None if only is None else set(only)
 
     def ref(base: str | None, path: tuple[str, ...]):
         return F.col(".".join(f"`{p}`" for p in ((base,) if base else ()) + path))
 
+    def free(name: str, taken: list[str], table: str) -> str:
+        while name in taken:
+            name = f"{table}_{name}"
+        return name
+
     def walk(node: Node, rows: DataFrame, base: str | None, keys: list[str]) -> None:
         if wanted is None or node.name in wanted:
-            own = [(n, p) for n, p in node.columns if n not in keys]
-            out[node.name] = rows.select(*keys, *[ref(base, p).alias(n) for n, p in own])
+            own = [ref(base, p).alias(free(n, keys, node.name)) for n, p in node.columns if base or (n,) != p or n != key]
+            out[node.name] = rows.select(*keys, *own)
         for c in node.children:
-            if c.slots:
-                if wanted is None or c.name in wanted:
-                    slot = F.explode(F.array(*[F.struct(F.lit("_".join(p)).alias("slot"), ref(base, p).alias("v")) for p in c.slots]))
-                    x = rows.select(*keys, slot.alias("__s")).filter("__s.v is not null")
-                    out[c.name] = x.select(*keys, F.col("__s.slot").alias("slot"), *[F.col(f"__s.v.{n}").alias(n) for n, _ in c.columns])
-                continue
             if wanted is not None and not any(w == c.name or w.startswith(c.name + "_") for w in wanted):
                 continue
-            pos = f"{c.path[-1]}_pos"
-            x = rows.select(*keys, F.posexplode(ref(base, c.path)).alias(pos, "__e")).filter("__e is not null")
-            walk(c, x, "__e", [*keys, pos])
+            if c.how == "shared":
+                name = free("slot", keys, c.name)
+                slot = F.explode(F.array(*[F.struct(F.lit("_".join(p)).alias("slot"), ref(base, p).alias("v")) for p in c.slots]))
+                x = rows.select(*keys, slot.alias("__s")).select(*keys, F.col("__s.slot").alias(name), F.col("__s.v").alias("__e"))
+            elif c.how == "map":
+                name = free(f"{c.path[-1]}_key", keys, c.name)
+                x = rows.select(*keys, F.explode(ref(base, c.path)).alias(name, "__e"))
+            else:
+                name = free(f"{c.path[-1]}_pos", keys, c.name)
+                # a parallel array that is missing counts as empty, shorter ones are filled with nulls
+                items = ref(base, c.path) if c.how == "array" else F.arrays_zip(*[F.coalesce(ref(base, (*c.path, f.name)), F.array().cast(f.dataType)).alias(f.name) for f in c.fields])
+                x = rows.select(*keys, F.posexplode(items).alias(name, "__e"))
+            x = x.filter("__e is not null")
+            if c.bare:
+                x = x.withColumn("__e", F.struct(F.col("__e").alias("value")))
+            walk(c, x, "__e", [*keys, name])
 
     walk(graph, df, None, [key])
     return out
@@ -163,19 +193,18 @@ def pages_of(record) -> Iterator[tuple[str, object, dict]]:
 
 
 def read_pages(df: DataFrame, key: str = "rec_id", text: str = "raw_json", fields: Iterable[str] = WORD_FIELDS, meta: bool = True) -> DataFrame:
-    """One row per page of each readable record: key, `page_key`, `page_pos`, `page_id`, the named
-    parallel arrays, and `image_meta`. A record that is null, cut off or beyond repair gives no rows."""
+    """Each record as one typed value: key, and `pages`, an array of structs of `page_key`, `page_id`, `page_dict` (the named
+    parallel arrays) and `image_meta`. A record that is null, cut off or beyond repair has null pages."""
     fields = tuple(fields)
     kinds = {f: pa.list_(pa.string() if f == "text" else pa.float64() if f == "conf" else pa.int32()) for f in fields}
     stage = pa.struct([(f.name, pa.string() if isinstance(f.dataType, T.StringType) else pa.int32()) for f in STAGE_TYPE])
-    stage_spark = T.StructType([T.StructField(s, STAGE_TYPE) for s in STAGES])
     whole = {f.name for f in STAGE_TYPE if isinstance(f.dataType, T.IntegerType)}
-    schema = T.StructType(
-        [T.StructField(key, T.LongType()), T.StructField("page_key", T.StringType()), T.StructField("page_pos", T.IntegerType()), T.StructField("page_id", T.IntegerType())]
-        + [T.StructField(f, T.ArrayType(T.StringType() if f == "text" else T.DoubleType() if f == "conf" else T.IntegerType())) for f in fields]
-        + ([T.StructField("image_meta", stage_spark)] if meta else [])
-    )
-    rows_a_batch = 256
+    words = T.StructType([T.StructField(f, T.ArrayType(T.StringType() if f == "text" else T.DoubleType() if f == "conf" else T.IntegerType())) for f in fields])
+    page = T.StructType([T.StructField("page_key", T.StringType()), T.StructField("page_id", T.IntegerType())])
+    page = page.add("page_dict", words) if fields else page
+    page = page.add("image_meta", T.StructType([T.StructField(s, STAGE_TYPE) for s in STAGES])) if meta else page
+    schema = T.StructType([T.StructField(key, T.LongType()), T.StructField("pages", T.ArrayType(page))])
+    pages_a_batch = 256
 
     def clean(m):
         if not isinstance(m, dict):
@@ -183,51 +212,66 @@ def read_pages(df: DataFrame, key: str = "rec_id", text: str = "raw_json", field
         return {s: {n: (_number(v, True) if n in whole else None if v is None else str(v)) for n in STAGE_TYPE.names for v in [m[s].get(n)]}
                 if isinstance(m.get(s), dict) else None for s in STAGES}
 
-    def emit(ids, names, places, numbers, lists, metas) -> pa.RecordBatch:
-        arrays = [pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(places, pa.int32()), pa.array(numbers, pa.int32())]
-        arrays += [_array(lists[f], kinds[f]) for f in fields]
+    def emit(ids, ends, names, numbers, lists, metas) -> pa.RecordBatch:
+        parts = {"page_key": pa.array(names, pa.string()), "page_id": pa.array(numbers, pa.int32())}
+        if fields:
+            parts["page_dict"] = pa.StructArray.from_arrays([_array(lists[f], kinds[f]) for f in fields], list(fields))
         if meta:
-            arrays.append(pa.array(metas, pa.struct([(s, stage) for s in STAGES])))
-        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            parts["image_meta"] = pa.array(metas, pa.struct([(s, stage) for s in STAGES]))
+        starts = [0, *[e for e, _ in ends]]
+        offsets = pa.array([a if ok else None for a, (_, ok) in zip(starts, ends)] + [starts[-1]], pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(parts.values()), list(parts)))], names=[key, "pages"])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, names, places, numbers, metas, lists = [], [], [], [], [], {f: [] for f in fields}
+        ids, ends, names, numbers, metas, lists = [], [], [], [], [], {f: [] for f in fields}
         for b in batches:
             for k, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                for pos, (parent, number, page) in enumerate(pages_of(loads(raw.as_py()))):
-                    words = page.get("page_dict") if isinstance(page.get("page_dict"), dict) else page
-                    ids.append(k)
+                record = loads(raw.as_py())
+                for parent, number, one in pages_of(record):
+                    arrays = one.get("page_dict") if isinstance(one.get("page_dict"), dict) else one
                     names.append(parent)
-                    places.append(pos)
                     numbers.append(_number(number, True))
                     for f in fields:
-                        v = words.get(f)
+                        v = arrays.get(f)
                         lists[f].append(v if isinstance(v, list) else None)
                     if meta:
-                        metas.append(clean(page.get("image_meta")))
-                    if len(ids) >= rows_a_batch:
-                        yield emit(ids, names, places, numbers, lists, metas)
-                        ids, names, places, numbers, metas, lists = [], [], [], [], [], {f: [] for f in fields}
+                        metas.append(clean(one.get("image_meta")))
+                ids.append(k)
+                ends.append((len(names), record is not None))
+                if len(names) >= pages_a_batch:
+                    yield emit(ids, ends, names, numbers, lists, metas)
+                    ids, ends, names, numbers, metas, lists = [], [], [], [], [], {f: [] for f in fields}
         if ids:
-            yield emit(ids, names, places, numbers, lists, metas)
+            yield emit(ids, ends, names, numbers, lists, metas)
 
     return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(parse, schema)
 
 
-def words_of(pages: DataFrame, key: str = "rec_id", fields: Iterable[str] = WORD_FIELDS) -> DataFrame:
-    """One row per position of a page's parallel arrays (`word_pos`), shorter arrays filled with nulls."""
-    fields = tuple(fields)
-    kinds = dict(pages.dtypes)
-    full = [F.coalesce(F.col(f), F.array().cast(kinds[f])).alias(f) for f in fields]  # an array that is missing counts as empty
-    x = pages.select(key, "page_key", "page_pos", F.posexplode(F.arrays_zip(*full)).alias("word_pos", "w"))
-    return x.select(key, "page_key", "page_pos", "word_pos", *[F.col(f"w.{f}").alias(f) for f in fields])
+#: The tables of a raw OCR record and the names of their keys.
+_TABLES = {"pages": "record_pages", "words": "record_pages_page_dict", "stages": "record_pages_shared0"}
+
+
+def _record_table(records: DataFrame, which: str, key: str) -> DataFrame:
+    name = _TABLES[which]
+    return shred(records.select(key, "pages"), key, "record", [name], ["pages.page_dict"])[name].withColumnRenamed("pages_pos", "page_pos")
+
+
+def pages_of_records(records: DataFrame, key: str = "rec_id") -> DataFrame:
+    """One row per page of the records of `read_pages`: key, page_pos, page_key, page_id."""
+    return _record_table(records, "pages", key)
+
+
+def words_of(records: DataFrame, key: str = "rec_id") -> DataFrame:
+    """One row per position of a page's parallel arrays (`word_pos`), pointing to its page; with the page's key as written."""
+    x = records.select(key, F.posexplode("pages").alias("page_pos", "page"))
+    x = shred(x.select(F.struct(key, "page_pos", "page.page_key").alias("page_ref"), F.col("page.page_dict").alias("page_dict")), "page_ref", "page", ["page_page_dict"], ["page_dict"])["page_page_dict"]
+    names = [c for c in x.columns if c not in ("page_ref", "page_dict_pos")]
+    return x.select(F.col(f"page_ref.{key}").alias(key), F.col("page_ref.page_key").alias("page_key"), F.col("page_ref.page_pos").alias("page_pos"), F.col("page_dict_pos").alias("word_pos"), *names)
 
 
-def stages_of(pages: DataFrame, key: str = "rec_id") -> DataFrame:
-    """The shared element of a page's image metadata: one row per stage that is there."""
-    return shred(pages.select(F.struct(key, "page_pos").alias("page_ref"), "page_key", "image_meta").select(F.col("page_ref").alias("page_fk"), "image_meta"), "page_fk", "page", ["page_shared0"])["page_shared0"].select(
-        F.col(f"page_fk.{key}").alias(key), F.col("page_fk.page_pos").alias("page_pos"), F.regexp_replace("slot", "^image_meta_", "").alias("slot"), *STAGE_TYPE.names
-    )
+def stages_of(records: DataFrame, key: str = "rec_id") -> DataFrame:
+    """The shared element of a page's image metadata: one row per stage that is there, pointing to its page."""
+    return _record_table(records, "stages", key).withColumn("slot", F.regexp_replace("slot", "^image_meta_", ""))
 
 
 def once(df: DataFrame, key: str) -> DataFrame:
