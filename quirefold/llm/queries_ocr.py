@@ -13,7 +13,7 @@ from quirefold.sources.tables import table
 def _conf(spark: SparkSession, d: str) -> DataFrame:
     """Mean confidence of each word of raw OCR."""
     pages = read_pages(once(table(spark, d, "raw_ocr", "rec_id", "raw_json"), "rec_id"), fields=("conf", "text"), meta=False)
-    w = words_of(pages, fields=("conf", "text")).filter("conf >= 0 and text is not null")
+    w = words_of(pages).filter("conf >= 0 and text is not null")
     word = F.regexp_replace(F.lower("text"), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
     return w.groupBy(word.alias("word")).agg(F.avg("conf").alias("conf"))
 
