@@ -4,9 +4,10 @@ Texts are tokenised with a public tokenizer. Per source, documents in seeded ord
 cut into blocks of fixed length: prefix sums over hash buckets and within them give each document its offset, so
 no source is gathered in one task. The mixture has so many block slots that every source meets its share within
 its cap; for each output shard the counts of the sources are drawn at random (multinomial draws on condition of
-the totals, since free draws would overrun the caps), and the k-th slot of a source takes block perm(k mod blocks),
-where perm is a pseudorandom permutation (Feistel network) that changes with every pass over the source. Blocks
-are then joined by (source, block).
+the totals, since free draws would overrun the caps). Draws go down a tree that halves the shards, each node seeded
+by its place, so that a worker finds its shard's counts by itself, in as many steps as the tree is deep. The k-th slot
+of a source takes block perm(k mod blocks), where perm is a pseudorandom permutation (Feistel network) that changes
+with every pass over the source. Blocks are then joined by (source, block).
 
 A pass uses each document once, and passes are at most max_repeats, so no document is used more often. Null and empty
 texts have no tokens; sources without documents reach 0 and their share goes to the others in proportion;
@@ -33,6 +34,10 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 512
 SHARD_SLOTS = 4096
 BUCKETS = 1024
+#: Output shards of one task.
+SHARDS_A_TASK = 8
+#: Sources in a table of targets; more is an error.
+MAX_TARGETS = 10_000
 #: Fixed value: how the byte-level vocabularies split text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 _ENCODERS: dict = {}
@@ -151,26 +156,50 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def draw_shards(want: dict[str, int], seed: int, size: int = SHARD_SLOTS) -> list[tuple[int, list[str], list[int], list[int]]]:
-    """(shard, sources, slots of each, slots of each in the shards before): random counts that add up to want."""
-    names = sorted(want)
-    left = np.array([want[s] for s in names], dtype=np.int64)
-    before, rng, out, shard = np.zeros(len(names), np.int64), np.random.default_rng(seed), [], 0
-    while left.sum():
-        n = int(min(size, left.sum()))
-        got = rng.multivariate_hypergeometric(left, n, method="marginals")
-        out.append((shard, names, got.tolist(), before.tolist()))
-        left, before, shard = left - got, before + got, shard + 1
+#: numpy draws hypergeometric counts from populations up to this; larger ones are drawn by their normal limit.
+EXACT = 500_000_000
+
+
+def _half(want: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of n slots drawn at random from those wanted each source gets."""
+    out, left = np.zeros_like(want), int(want.sum())
+    for i, k in enumerate(want.tolist()):
+        lo, hi = max(0, n - (left - k)), min(k, n)
+        if lo == hi:
+            got = lo
+        elif left <= EXACT:
+            got = int(rng.hypergeometric(k, left - k, n))
+        else:
+            mean = n * k / left
+            got = min(hi, max(lo, round(rng.normal(mean, math.sqrt(mean * (1 - k / left) * (left - n) / (left - 1))))))
+        out[i] = got
+        left, n = left - k, n - got
     return out
 
 
+def draw_shard(want: dict[str, int], shard: int, seed: int, size: int = SHARD_SLOTS) -> tuple[list[str], list[int], list[int]]:
+    """(sources, slots of each, slots of each in the shards before) of one shard; over all shards they add up to want."""
+    names = sorted(want)
+    here, before = np.array([want[s] for s in names], np.int64), np.zeros(len(names), np.int64)
+    lo, hi = 0, -(-int(here.sum()) // size)
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        left = _half(here, (mid - lo) * size, np.random.default_rng([seed, lo, hi]))
+        if shard < mid:
+            here, hi = left, mid
+        else:
+            here, before, lo = here - left, before + left, mid
+    return names, here.tolist(), before.tolist()
+
+
 def slots(spark: SparkSession, want: dict[str, int], n_blocks: dict[str, int], seed: int = 42, size: int = SHARD_SLOTS) -> DataFrame:
     """shard, slot, source, block, pass: which block stands at each place of each output shard."""
-    plan = spark.createDataFrame(draw_shards(want, seed, size), "shard int, sources array<string>, counts array<long>, before array<long>")
+    n_shards = -(-sum(want.values()) // size)
 
     def run(batches):
         for b in batches:
-            for shard, names, counts, before in zip(*[c.to_pylist() for c in b.columns]):
+            for shard in b.column(0).to_pylist():
+                names, counts, before = draw_shard(want, shard, seed, size)
                 src, blk, use = [], [], []
                 for i, (s, c, k0) in enumerate(zip(names, counts, before)):
                     if not c:
@@ -183,17 +212,19 @@ def slots(spark: SparkSession, want: dict[str, int], n_blocks: dict[str, int], s
                         use.append(np.full(len(idx), p))
                 place = np.random.default_rng([seed, shard]).permutation(len(src))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(src), shard), pa.int32()), pa.array(place, pa.int32()), pa.array(src), pa.array(np.concatenate(blk), pa.int64()), pa.array(np.concatenate(use), pa.int32())],
+                    [pa.array(np.full(len(src), shard), pa.int64()), pa.array(place, pa.int32()), pa.array(src), pa.array(np.concatenate(blk), pa.int64()), pa.array(np.concatenate(use), pa.int32())],
                     names=["shard", "slot", "source", "block", "pass"],
                 )
 
-    return plan.repartition(max(1, min(len(want) * 40, 64))).mapInArrow(run, "shard int, slot int, source string, block long, pass int")
+    return spark.range(0, n_shards, 1, max(1, -(-n_shards // SHARDS_A_TASK))).mapInArrow(run, "shard long, slot int, source string, block long, pass int")
 
 
 def targets_of(spark: SparkSession, path: str) -> list[tuple[str, float, int | None]]:
     """(source, share, cap) of mix_target, a fixed small table; spellings of a source are added up."""
     x = spark.read.parquet(path).dropDuplicates().withColumn("source", source_key(F.col("source"))).filter("source is not null")
-    rows = x.groupBy("source").agg(F.sum("target_share").alias("w"), F.max("max_repeats").alias("r"), F.max(F.col("max_repeats").isNull()).alias("free")).limit(100_000).collect()
+    rows = x.groupBy("source").agg(F.sum("target_share").alias("w"), F.max("max_repeats").alias("r"), F.max(F.col("max_repeats").isNull()).alias("free")).limit(MAX_TARGETS + 1).collect()
+    if len(rows) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} sources have a target share")
     return [(r.source, float(r.w or 0), None if r.free else int(r.r)) for r in rows]
 
 
@@ -221,7 +252,8 @@ class Mixture:
 
     def mixed(self) -> DataFrame:
         """shard, slot, source, block, pass, doc_ids, tokens."""
-        x = self.slots.join(self.packed(), ["source", "block"]).select("shard", "slot", "source", "block", "pass", "doc_ids", "tokens")
+        # the planner can't tell how many slots a shard has, so it is told not to send them to all workers
+        x = self.slots.hint("merge").join(self.packed(), ["source", "block"]).select("shard", "slot", "source", "block", "pass", "doc_ids", "tokens")
         return unpack(x, "tokens", self.size)
 
     def shares(self) -> DataFrame:

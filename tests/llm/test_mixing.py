@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from quirefold.llm.mixing import Mixture, blocks_of, draw_shards, encoder, permute, quotas, source_key
+from quirefold.llm.mixing import Mixture, blocks_of, draw_shard, encoder, permute, quotas, slots, source_key, targets_of
 
 
 def test_permutations_and_draws():
@@ -9,10 +9,32 @@ def test_permutations_and_draws():
         a = permute(np.arange(n), n, 5)
         assert sorted(a.tolist()) == list(range(n))
     assert permute(np.arange(1000), 1000, 5).tolist() != permute(np.arange(1000), 1000, 6).tolist()
-    want = {"a": 70, "b": 5, "c": 0}
-    shards = draw_shards(want, 1, 16)
-    assert [sum(c) for _, _, c, _ in shards] == [16] * 4 + [11]
-    assert np.sum([c for _, _, c, _ in shards], axis=0).tolist() == [70, 5, 0]
+    for want, size in (({"a": 70, "b": 5, "c": 0}, 16), ({"a": 3_000, "b": 900, "c": 1, "d": 97}, 10), ({"x": 3}, 5)):
+        n = -(-sum(want.values()) // size)
+        shards = [draw_shard(want, k, 1, size) for k in range(n)]
+        assert [sum(c) for _, c, _ in shards] == [size] * (n - 1) + [sum(want.values()) - size * (n - 1)]
+        for k, (names, counts, before) in enumerate(shards):
+            assert names == sorted(want) and min(counts) >= 0
+            assert before == np.sum([c for _, c, _ in shards[:k]], axis=0, dtype=int).tolist() if k else before == [0] * len(names)
+        assert np.sum([c for _, c, _ in shards], axis=0).tolist() == [want[s] for s in sorted(want)]
+    big = draw_shard({"a": 3 * 10**10, "b": 10**10}, 7_000_000, 1)[1]  # populations beyond numpy's exact draws
+    assert sum(big) == 4096 and abs(big[0] - 3072) < 300
+
+
+def test_slots_use_every_block_as_often_as_passes_say(spark):
+    want, blocks = {"a": 1000, "b": 77}, {"a": 400, "b": 77}
+    rows = slots(spark, want, blocks, size=64).collect()
+    assert sorted((r.shard, r.slot) for r in rows) == [(k, i) for k in range(17) for i in range(64 if k < 16 else 1077 - 1024)]
+    uses = {}
+    for r in rows:
+        uses[r.source, r.block] = uses.get((r.source, r.block), 0) + 1
+    assert len(uses) == 477 and all(n in (2, 3) if s == "a" else n == 1 for (s, _), n in uses.items())
+
+
+def test_targets(spark, tmp_path):
+    spark.createDataFrame([("A", 0.5, 2), (" a ", 0.1, None), ("b", 0.4, 1), (None, 0.1, 1), ("b", 0.4, 1)], "source string, target_share double, max_repeats int").write.parquet(str(tmp_path / "t"))
+    got = {s: (round(w, 9), r) for s, w, r in targets_of(spark, str(tmp_path / "t"))}
+    assert got == {"a": (0.6, None), "b": (0.4, 1)}
 
 
 def test_quotas_keep_caps():
