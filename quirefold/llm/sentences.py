@@ -22,7 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Quotes and brackets.
@@ -195,10 +195,9 @@ def learn(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # what follows each type with a period
     p = pair.join(starters.select("lang", F.col("word").alias("nxt"), F.lit(1.0).alias("starts")), ["lang", "nxt"], "left").fillna(0.0, ["starts"])
     # a next word that is most of what follows a type is its collocation, also if it may start sentences
-    of = Window.partitionBy("lang", "t")
     p = p.groupBy("lang", "t", "nxt").agg(F.sum("n").alias("n"), F.max("starts").alias("starts"), F.max("abbr").alias("abbr"))
-    bound = (F.col("n") >= BOUND * F.sum("n").over(of)) & (F.sum("n").over(of) >= LEAST_BOUND) & (F.col("abbr") >= ABBREVIATION)
-    p = p.withColumn("starts", F.when(bound, 0.0).otherwise(F.col("starts")))
+    total_t = p.filter(F.col("abbr") >= ABBREVIATION).groupBy("lang", "t").agg(F.sum("n").alias("of")).filter(F.col("of") >= LEAST_BOUND)
+    p = p.join(total_t, ["lang", "t"], "left").withColumn("starts", F.when(F.col("n") >= BOUND * F.col("of"), 0.0).otherwise(F.col("starts"))).drop("of")
     by = p.groupBy("lang", "t").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("starts")).alias("n_start"), F.max("abbr").alias("abbr"))
     # collocations: of a pair's second words that are no starters, the strongest
     nxt = pair.groupBy("lang", "nxt").agg(F.sum("n").alias("n_nxt"))
@@ -231,8 +230,7 @@ class Model:
         self.any_kinds: dict[str, str] = {}
         for d in self.kinds.values():
             for t, c in d.items():
-                if len(t) <= 9:
-                    self.any_kinds[t] = c if self.any_kinds.get(t, c) == c else "mixed"
+                self.any_kinds[t] = c if self.any_kinds.get(t, c) == c else "mixed"
 
     @classmethod
     def of(cls, documents: DataFrame) -> Model:
@@ -300,6 +298,27 @@ def spans(block: str) -> list[tuple[int, int, bool]]:
     return out
 
 
+_NEXT = re.compile(r"\s*(\S+)")
+_NAME = re.compile(r"[^\W\d_]+")
+#: A letter by itself, or an initial with a name or another initial behind it.
+_INITIAL = re.compile(r"[^\W\d_](?:(\s)|\.\s+([^\W\d_]))")
+_OPENING = re.compile(rf"[{re.escape(OPEN + QUOTES)} \n\t]*")
+
+
+def _words_before(block: str, start: int, at: int, most: int) -> list[str]:
+    """The last words before `at`, in order, up to so many, not before start."""
+    out = []
+    while len(out) < most:
+        while at > start and block[at - 1].isspace():
+            at -= 1
+        if at == start:
+            break
+        begin = _word_before(block, start, at)
+        out.append(block[begin:at])
+        at = begin
+    return out[::-1]
+
+
 def _word_before(block: str, start: int, at: int) -> int:
     """Where the word that ends at `at` begins, not before start."""
     while at > start and not block[at - 1].isspace():
@@ -337,7 +356,7 @@ def _period_ends(block: str, start: int, at: int, stop: int, nxt: str, lang: str
     if not token or block[at - 1] in CLOSE + QUOTES:
         return True
     if _NUMBER.fullmatch(token):
-        if begin - start < 40 and not block[start:begin].strip(OPEN + QUOTES + " \n\t"):
+        if _OPENING.match(block, start).end() >= begin:
             return False  # the number of a heading
         return model.kind(lang, "#") == "ends" or starter or not w
     if len(token) == 1 and token.isupper():  # an initial, or a letter that names something
@@ -348,7 +367,7 @@ def _period_ends(block: str, start: int, at: int, stop: int, nxt: str, lang: str
     if w == "#" or nxt[:1].isdigit():
         return len(core) >= 4
     if kind == "mixed":
-        before = block[max(start, begin - 400) : begin].split()
+        before = _words_before(block, start, begin, 4)
         if len(before) <= 2 or len(before) > 2 and any(x.endswith(",") for x in before[-2:]) and not starter:
             return False
         initial = len(w) == 1 and w.isupper()
@@ -436,27 +455,25 @@ def _sentences(block: str, lang: str, model: Model) -> list[tuple[int, int]]:
         end = run_end
         while end < e and not any(x[0] == end for x in held[k : k + 2]):
             end += 1
-        rest = block[end : end + 60]
         if first in FREE_MARKS:
             out.append((start, end))
             start = end
             continue
-        if not rest.strip():
-            if not block[end:].strip():
+        spaced = end == len(block) or block[end].isspace()
+        if spaced:
+            m = _NEXT.match(block, end)
+            if not m:
                 break
-            rest = block[end:].lstrip()[:60]
-            spaced = True
-        else:
-            spaced = rest[0].isspace()
-        nxt = rest.split(None, 1)[0]
+            nxt = m.group(1)
         run = block[s:run_end]
         if not spaced:
             # a sentence end without its space: a word, the mark, a capitalised word
-            before, word = block[max(start, s - 1) : s], re.match(r"[^\W\d_]+", nxt)
+            before, word = block[max(start, s - 1) : s], _NAME.match(block, end)
             behind = bool(before) and (before.islower() or before in CLOSE + QUOTES)
-            quoted = nxt[0] in QUOTES + "(¿¡" and len(nxt) > 1 and nxt[1].isupper()
+            quoted = block[end] in QUOTES + "(¿¡" and block[end + 1 : end + 2].isupper()
             # a capitalised word, or an initial with a name or another initial behind it
-            capital = word and word.group()[0].isupper() and (len(word.group()) > 1 and word.group()[1].islower() or re.match(r"[^\W\d_](?:\s|\.\s+[^\W\d_])", rest) and rest[:3].strip()[-1:] != "" and (rest[1:2].isspace() or rest.split(None, 1)[1][:1].isupper()))
+            initial = _INITIAL.match(block, end)
+            capital = word and word.group()[0].isupper() and (len(word.group()) > 1 and word.group()[1].islower() or initial and (initial.group(1) or initial.group(2).isupper()))
             if not behind or not (quoted or capital):
                 continue
             if run == "." and model.kind(lang, _LEAD.sub("", block[_word_before(block, start, s) : s]).lower()) == "never":

@@ -69,3 +69,15 @@ def test_learning_finds_abbreviations(spark):
     got = sentence_units(df).filter("doc_id = 800").orderBy("unit_no").collect()
     assert [r.unit.split()[0] for r in got] == ["The", "They", "It", "After"]
     assert sentence_units(df).filter("doc_id >= 900").count() == 0 and sentence_units(df.limit(0)).count() == 0
+
+
+def test_long_words_and_far_parts_count_whole():
+    m = Model([("en", "Then"), ("en", "Thereafter" * 20)], [("en", "approx", "mixed"), ("en", "abbreviationlong", "never")])
+    long_ = "w" * 900
+    ends = lambda t, lang="en": [t[a:b] for a, b in units(t, lang, m)]
+    # the words before a period are seen however far they reach back, and the next word however long it is
+    assert len(ends(f"We saw {long_} {long_} approx. Then it went on.")) == 2
+    assert len(ends(f"We saw {long_}, {long_} approx. Name it went on.")) == 1
+    assert len(ends(f"We saw all of it approx. {'Thereafter' * 20} it went on.")) == 2
+    # classes of long types hold for other languages too
+    assert len(ends("Siehe abbreviationlong. Haus ist da.", "de")) == 1
