@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "quirefold", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -48,17 +48,29 @@ def _app_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/quirefold-{spark.sparkContext.applicationId}"
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder for a table of this application."""
+    return f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read back: the lineage is cut and a lost
     executor costs nothing that was computed before. `release` deletes what an application wrote."""
     spark = df.sparkSession
-    path = f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
 
 
+def counted(df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict]:
+    """`written`, and aggregates of what was written, found on the way without another pass."""
+    seen = Observation()
+    out = written(df.observe(seen, *[c.alias(n) for n, c in what.items()]), name)
+    return out, seen.get
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
