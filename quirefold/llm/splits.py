@@ -6,7 +6,7 @@ neighbour and pointer jumping, and rewrites only the labels that changed. Splits
 configuration: components that have a split keep it, new ones fill what the splits still lack, and where
 a merge ties components of different splits, their nodes keep their splits and are marked as quarantined.
 
-Null keys tie nothing; self ties and repeated ties count once; empty tables give empty tables.
+`Store` keeps both tables from run to run. Null keys tie nothing; self ties and repeated ties count once; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirefold.session import written
+from quirefold.session import counted, forget, written
 
 NODE = "node string, comp string"
 SPLITS = ("validation", "test", "train")
@@ -27,34 +27,41 @@ BUCKETS = 256
 def merge_labels(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, comp) of every node of the edges (a, b): the smallest node of its connected component."""
     e = edges.filter("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    e = written(e, "ties")
-    parent = written(e.select("a").union(e.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("comp")), "parents")
-    live = e
+    live, got = counted(e, "ties", n=F.count(F.lit(1)))
+    both = live.union(live.select("b", "a"))
+    parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("comp"))
     for _ in range(rounds):
-        if live.isEmpty():
-            break
-        both = live.union(live.select("b", "a"))
-        hook = both.groupBy(F.col("a").alias("root")).agg(F.min("b").alias("least")).filter("least < root")
-        parent = parent.join(hook, parent.comp == hook.root, "left").select("node", F.coalesce("least", "comp").alias("comp"))
-        parent = written(parent, "parents")
-        while True:  # pointer jumping: every node points to its parent's parent, until all point to roots
-            up = parent.filter("node <> comp").select(F.col("node").alias("n"), F.col("comp").alias("c"))
-            far = parent.join(up, parent.comp == up.n, "left").select("node", F.coalesce("c", "comp").alias("comp"), F.col("c").isNotNull().alias("moved"))
-            far = written(far, "parents")
-            parent = far.drop("moved")
-            if far.filter("moved").isEmpty():
-                break
-        live = (
+        parent = _jump(written(parent, "parents"))
+        if not got["n"]:
+            return parent
+        ties = (
             live.join(parent.select(F.col("node").alias("a"), F.col("comp").alias("ra")), "a")
             .join(parent.select(F.col("node").alias("b"), F.col("comp").alias("rb")), "b")
             .filter("ra <> rb")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .distinct()
         )
-        live = written(live, "ties")
-    else:
-        raise RuntimeError("components didn't settle")
-    return parent
+        old = live
+        live, got = counted(ties, "ties", n=F.count(F.lit(1)))
+        forget(old)
+        if not got["n"]:
+            return parent
+        hook = live.union(live.select("b", "a")).groupBy(F.col("a").alias("root")).agg(F.min("b").alias("least")).filter("least < root")
+        parent = parent.join(hook, parent.comp == hook.root, "left").select("node", F.coalesce("least", "comp").alias("comp"))
+    raise RuntimeError("components didn't settle")
+
+
+def _jump(parent: DataFrame) -> DataFrame:
+    """Pointer jumping: every node points to its parent's parent, until all point to roots."""
+    while True:
+        up = parent.filter("node <> comp").select(F.col("node").alias("n"), F.col("comp").alias("c"))
+        far = parent.join(up, parent.comp == up.n, "left").select("node", F.coalesce("c", "comp").alias("comp"), F.col("c").isNotNull().alias("moved"))
+        far, got = counted(far, "parents", moved=F.count_if("moved"))
+        forget(parent)
+        parent = far.drop("moved")
+        parent._written_at = far._written_at
+        if not got["moved"]:
+            return parent
 
 
 def update_components(old: DataFrame | None, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -142,16 +149,58 @@ def assign(components: DataFrame, sizes: DataFrame, configs: list[dict], old: Da
     return out
 
 
+class Store:
+    """A table kept between runs, in numbered versions below one folder; a version counts once it is whole, so a
+    run that fails leaves the one before. Used for the component table and the splits."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(at):
+            return []
+        names = [x.getPath().getName() for x in fs.listStatus(at)]
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and fs.exists(done(f"{self.path}/{n}/_SUCCESS")))
+
+    def load(self) -> DataFrame | None:
+        """The newest version, None if there is none yet."""
+        v = self.versions()
+        return self.spark.read.parquet(f"{self.path}/v{v[-1]:06d}") if v else None
+
+    def save(self, df: DataFrame) -> DataFrame:
+        """Writes the next version and reads it back; older ones stay for runs that still read them."""
+        v = (self.versions() or [0])[-1] + 1
+        df.write.mode("overwrite").parquet(f"{self.path}/v{v:06d}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/v{v:06d}")
+
+
 def shared_pairs(stems: DataFrame, components: DataFrame) -> DataFrame:
-    """(stem_a, stem_b), stem_a < stem_b: spellings (stem, node) whose nodes are in one component."""
+    """(stem_a, stem_b), stem_a < stem_b: spellings (stem, node) whose nodes are in one component.
+
+    As many rows as pairs; `component_stems` tells the same in one row a spelling."""
     x = stems.join(components, "node", "left").select("stem", F.coalesce("comp", "node").alias("comp")).filter("comp is not null")
     a, b = x.select(F.col("stem").alias("stem_a"), "comp"), x.select(F.col("stem").alias("stem_b"), "comp")
     return a.join(b, "comp").filter("stem_a < stem_b").select("stem_a", "stem_b")
 
 
+def component_stems(stems: DataFrame, components: DataFrame) -> DataFrame:
+    """(stem, comp, links): the component of each spelling (stem, node), and with how many other spellings it is shared."""
+    x = stems.join(components, "node", "left").select("stem", F.coalesce("comp", "node").alias("comp")).filter("comp is not null")
+    return x.join(x.groupBy("comp").agg((F.count("*") - 1).alias("links")), "comp").select("stem", "comp", "links")
+
+
+#: Settings in prep_config; more is an error.
+MAX_CONFIGS = 1000
+
+
 def configs_of(spark: SparkSession, path: str) -> list[dict]:
     """The settings of prep_config, one for each config_id."""
     import math
 
-    rows = spark.read.parquet(path).filter("config_id is not null").dropDuplicates(["config_id"]).orderBy("config_id").limit(1000).collect()
+    rows = spark.read.parquet(path).filter("config_id is not null").dropDuplicates(["config_id"]).orderBy("config_id").limit(MAX_CONFIGS + 1).collect()
+    if len(rows) > MAX_CONFIGS:
+        raise ValueError(f"more than {MAX_CONFIGS} configurations")
     return [{k: None if isinstance(v, float) and math.isnan(v) else v for k, v in r.asDict().items()} for r in rows]

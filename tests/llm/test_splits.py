@@ -78,3 +78,27 @@ def test_nulls_repeats_and_extra_columns(spark):
     pairs = sorted(tuple(r) for r in S.shared_pairs(stems, S.update_components(None, nodes, ties)).collect())
     assert pairs == [("A", "B"), ("C", "c2")]
     assert S.update_components(None, nodes.limit(0), ties.limit(0)).count() == 0
+
+
+def test_store_keeps_versions(spark, tmp_path):
+    store = S.Store(spark, f"file://{tmp_path}/components")
+    assert store.load() is None
+    none = spark.createDataFrame([], "a string, b string")
+    c = store.save(S.update_components(store.load(), spark.createDataFrame([("a",), ("b",)], "node string"), none))
+    assert store.versions() == [1] and c.count() == 2
+    store.save(S.update_components(store.load(), spark.createDataFrame([("c",)], "node string"), spark.createDataFrame([("b", "c")], "a string, b string")))
+    (tmp_path / "components" / "v000003").mkdir()  # a run that failed
+    again = S.Store(spark, f"file://{tmp_path}/components")  # another run
+    assert again.versions() == [1, 2] and sorted((r.node, r.comp) for r in again.load().collect()) == [("a", "a"), ("b", "b"), ("c", "b")]
+    stems = spark.createDataFrame([("A", "a"), ("B", "b"), ("C", "c"), ("C2", "c"), ("X", None)], "stem string, node string")
+    assert sorted(tuple(r) for r in S.component_stems(stems, again.load()).collect()) == [("A", "a", 0), ("B", "b", 2), ("C", "b", 2), ("C2", "b", 2)]
+
+
+def test_configs(spark, tmp_path, monkeypatch):
+    import pytest
+
+    spark.createDataFrame([(1, 0.1, None, 5), (2, float("nan"), 0.1, 5), (1, 0.1, None, 5), (None, 0.1, 0.1, 5)], "config_id int, val_ratio double, test_ratio double, seed int").write.parquet(str(tmp_path / "c"))
+    assert [(c["config_id"], c["val_ratio"]) for c in S.configs_of(spark, str(tmp_path / "c"))] == [(1, 0.1), (2, None)]
+    monkeypatch.setattr(S, "MAX_CONFIGS", 1)
+    with pytest.raises(ValueError):
+        S.configs_of(spark, str(tmp_path / "c"))
