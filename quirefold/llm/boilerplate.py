@@ -1,10 +1,12 @@
 """Lines repeated across one source's documents.
 
-Text is reduced to letters (case folded, letters that scanning confuses made one) and cut into chunks where
-rolling hashes of the content are smallest; line ends end a chunk too, as the result is by line. For each source
+Text is reduced to letters (case folded, letters that scanning confuses made one) and cut into chunks where the
+rolling hash of the content is smallest among its REACH neighbours on either side, so that a cut depends on the
+letters around it alone; line ends end a chunk too, as the result is by line. For each source
 the distinct documents of every chunk are counted. Lines of repeated chunks are candidates; an exact check
-then counts documents by whole line, brings in scan-damaged copies that share a chunk and differ by one or
-two letters, and keeps lines in at least MIN_DOCS documents and MIN_SHARE of the source's documents.
+then counts documents by whole line, brings in scan-damaged forms that share a chunk and differ by one or
+two letters, and keeps lines in at least MIN_DOCS documents and MIN_SHARE of the source's documents. Forms, not
+copies, are compared, so that a chunk in a third of all rows costs no more than the forms it stands in.
 
 Only hashes of repeated chunks are sent to workers, MAX_HOT of them at a time: if there are more, the pages are
 read once for each part of the sources. Null and empty texts have no lines, pages without a source belong to no
@@ -28,6 +30,8 @@ MIN_LETTERS, MIN_DOCS, MIN_SHARE = 20, 5, 0.1
 #: A chunk is repeated from this part of the documents that a line needs, as copies may be damaged.
 SLACK = 0.5
 WINDOW = 6
+#: Places on either side of a cut whose rolling hashes are no smaller.
+REACH = 7
 #: A line is a candidate from this part of its letters in repeated chunks.
 LEAST_PART = 0.1
 MAX_HOT = 2_000_000
@@ -63,6 +67,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _low(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """For each place the smallest of its own and the REACH next values of its line."""
+    out, span = x, 1
+    while span < REACH + 1:
+        step = min(span, REACH + 1 - span)
+        if step >= len(x):
+            break
+        nxt = np.where(own[step:] == own[:-step], out[step:], np.iinfo(np.uint64).max)
+        out = np.concatenate((np.minimum(out[:-step], nxt), out[-step:]))
+        span += step
+    return out
+
+
 class Lines:
     """The lines of a batch of texts: letters, chunks and hashes, all as arrays."""
 
@@ -112,13 +129,8 @@ class Lines:
         cut = np.zeros(m, bool)
         cut[self.start[:-1]] = True
         starts = self.start[:-1]
-        # the smallest of each third of a line
-        thirds = np.stack((starts, starts + self.n // 3, starts + 2 * self.n // 3), axis=1).ravel()
-        low = np.repeat(np.minimum.reduceat(roll, thirds), np.diff(np.append(thirds, m)))
-        inside = roll != np.iinfo(np.uint64).max
-        cut[np.flatnonzero((roll == low) & inside) + WINDOW // 2] = True
-        more = np.flatnonzero(inside & (roll & np.uint64(255) == 0))
-        cut[more + WINDOW // 2] = True
+        low = np.minimum(_low(roll, own), _low(roll[::-1], own[::-1])[::-1])
+        cut[np.flatnonzero((roll == low) & (roll != np.iinfo(np.uint64).max)) + WINDOW // 2] = True
         b = np.flatnonzero(cut)
         e = np.concatenate((b[1:], [m]))
         self.cuts, self.owner, self.size = b, own[b], e - b
@@ -156,12 +168,10 @@ def _chunk_docs(pages: DataFrame) -> DataFrame:
     return x.mapInArrow(run, "key long, doc long, need long")
 
 
-def _candidates(pages: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Lines of both texts that hold repeated chunks: page_id, src, doc, field, line_no, sig, letters, keys, whole."""
+def _candidates(pages: DataFrame, sent) -> DataFrame:
+    """sent: the sorted hashes of repeated chunks, as a broadcast value. Lines of both texts that hold repeated chunks: page_id, src, doc, field, line_no, sig, letters, keys, whole."""
     schema = "page_id long, src long, doc long, field int, line_no int, sig long, letters string, keys array<long>, whole boolean"
     names = [x.split()[0] for x in schema.split(", ")]
-    sent = pages.sparkSession.sparkContext.broadcast(hot)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = sent.value
         for b in batches:
@@ -209,27 +219,29 @@ def repeated_lines(pages: DataFrame, max_hot: int = MAX_HOT) -> DataFrame:
         mine = hot if parts == 1 else hot.filter(F.pmod(F.xxhash64("key"), F.lit(parts)) == k)
         keys = np.sort(np.array([r.key for r in mine.collect()], np.int64))
         if len(keys):
-            got = _candidates(p, keys)
+            sent = pages.sparkSession.sparkContext.broadcast(keys)
+            got = written(_candidates(p, sent), "lines")
+            sent.unpersist()  # workers hold one part at a time
             rows = got if rows is None else rows.unionByName(got)
     spark = pages.sparkSession
     if rows is None:
         return spark.createDataFrame([], "page_id long, field string, line_no int")
     if parts > 1:  # a line's chunks may lie in several parts
-        rows = rows.groupBy("page_id", "src", "doc", "field", "line_no", "sig", "letters").agg(F.flatten(F.collect_list("keys")).alias("keys"), F.max("whole").alias("whole"))
-    rows = written(rows, "lines")
+        rows = written(rows.groupBy("page_id", "src", "doc", "field", "line_no", "sig", "letters").agg(F.flatten(F.collect_list("keys")).alias("keys"), F.max("whole").alias("whole")), "lines")
     small = lambda df: F.broadcast(df) if df.count() <= MAX_BROADCAST else df
     by_line = rows.filter("field = 0").groupBy("src", "sig").agg(F.countDistinct("doc").alias("n"), F.first("letters").alias("canon"), F.first("keys").alias("keys"))
     known = by_line.join(small(least), "src").filter("n >= need").drop("need").join(small(need), "src")
     known = written(known.select("src", "sig", "canon", "keys", (F.col("n") >= F.col("need")).alias("sure")), "known")
     ids = ["page_id", "src", "doc", "field", "line_no", "sig"]
     exact = rows.join(small(known.select("src", "sig")), ["src", "sig"], "left_semi").select(ids)
-    # lines that don't reach the number of documents by themselves may be damaged copies of another, and count for it
-    other = rows.join(small(known.filter("sure").select("src", "sig")), ["src", "sig"], "left_anti").withColumn("key", F.explode("keys"))
-    other = other.select("page_id", "src", "doc", "field", "line_no", "letters", "key", F.col("sig").alias("own"))
+    # forms that don't reach the number of documents by themselves may be damaged ones of another, and count for it
+    other = rows.join(small(known.filter("sure").select("src", "sig")), ["src", "sig"], "left_anti").groupBy("src", "sig").agg(F.first("letters").alias("letters"), F.first("keys").alias("keys"))
+    other = other.select("src", F.col("sig").alias("own"), "letters", F.explode("keys").alias("key"))
     near = other.join(small(known.select(F.explode("keys").alias("key"), "canon", "sig")), "key").filter("own <> sig")
     may = F.when(F.length("canon") >= 40, 4).otherwise(2)  # two letters, each taken for two or two taken for one
     near = near.filter((F.abs(F.length("letters") - F.length("canon")) <= may) & (F.levenshtein("letters", "canon") <= may))
-    near = near.select(ids).distinct()
+    near = written(near.select("src", "own", F.col("sig").alias("as")).distinct(), "forms")
+    near = rows.join(small(near), (rows.src == near.src) & (rows.sig == near.own)).select("page_id", rows.src, "doc", "field", "line_no", F.col("as").alias("sig"))
     all_ = written(exact.unionByName(near), "copies")
     enough = all_.filter("field = 0").groupBy("src", "sig").agg(F.countDistinct("doc").alias("n")).join(small(need), "src").filter("n >= need").select("src", "sig")
     found = all_.join(small(enough), ["src", "sig"], "left_semi")

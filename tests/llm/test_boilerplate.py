@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quirefold.llm.boilerplate import Lines, repeated_lines, without_lines
+from quirefold.llm.boilerplate import REACH, WINDOW, Lines, repeated_lines, without_lines
 
 SCHEMA = "page_id long, doc_stem string, source string, page_text string, cleaned_text string, field string"
 
@@ -70,3 +70,17 @@ def test_chunks_depend_on_content_only():
     k = [L.keys[L.owner == i].tolist() for i in range(3)]
     assert k[0] == k[1] and not set(k[0]) & set(k[2]) and L.sig[0] == L.sig[1] != L.sig[2]
     assert L.line_no[L.lines].tolist() == [1, 0, 1] and L.line_page[L.lines].tolist() == [0, 1, 1]
+
+
+def test_cuts_depend_on_the_letters_around_them_alone():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        core = "".join(chr(97 + c) for c in rng.integers(0, 26, 80))
+        head, tail = ("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(0, 90))) for _ in range(2))
+        cuts = lambda t: set(Lines([t], np.zeros(1, np.int64)).cuts.tolist())
+        far = REACH + WINDOW
+        inner = {c for c in cuts(core) if far <= c < len(core) - far}
+        assert inner == {c - len(head) for c in cuts(head + core + tail) if far <= c - len(head) < len(core) - far}
+        several = Lines([core + "\n" + tail + "tailtailtailtailtail\n" + core], np.zeros(1, np.int64))
+        first = several.cuts[several.owner == 0] - several.start[0]
+        assert first.tolist() == (several.cuts[several.owner == 2] - several.start[2]).tolist() == sorted(cuts(core))
