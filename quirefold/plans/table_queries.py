@@ -96,7 +96,15 @@ def t7_html_grid(spark: SparkSession, d: str) -> DataFrame:
     return T.html_grid(h, "rec_id", "html")
 
 
-QUERIES = {f.__name__: f for f in (c1_fast_type, c2_short_type, c3_prose, c4_title_indicators, w8_content_run, w9_transition, t1_grid, t2_occupied, t3_consolidate, t4_positions, t5_trim, a18_widths, landscape, t7_html_grid)}
+def t10_listed_grid(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of table_ocr placed in the order they are listed; spans that would clash fall to one place."""
+    one = lambda c: F.struct(c["text"].alias("text"), c["row_span"].alias("row_span"), c["col_span"].alias("col_span"), F.lit(False).alias("is_header"))
+    rows = F.transform("rows", lambda r: F.transform(r["cells"], one))
+    t = table(spark, d, "table_ocr", "rec_id", "rows", "table_id").filter("rec_id is not null").dropDuplicates(["rec_id"])
+    return T.listed_grid(t, "rec_id", rows, "table_id")
+
+
+QUERIES = {f.__name__: f for f in (c1_fast_type, c2_short_type, c3_prose, c4_title_indicators, w8_content_run, w9_transition, t1_grid, t2_occupied, t3_consolidate, t4_positions, t5_trim, a18_widths, landscape, t7_html_grid, t10_listed_grid)}
 
 _IND = " + ".join(f"CAST(regexp_matches(t, '(?is){p}') AS INTEGER)" for p in P.TITLE_PATTERNS)
 _STOP = ", ".join(f"'{w}'" for w in P.STOP_WORDS)

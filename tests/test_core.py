@@ -130,9 +130,21 @@ def test_html_tables():
     assert cap == "A b" and rows[0] == [("x y", 1, 2, True)] and TB.html_rows("no") is None and TB.html_rows(None) is None
     assert TB.place_cells([[("a", 2, 1, False), ("b", 1, 1, False)], [("c", 1, 3, False)]]) == [(0, 0, 2, 1, "a", False), (0, 1, 1, 1, "b", False), (1, 1, 1, 3, "c", False)]
     clash = [[("a", 1, 1, False), ("b", 2, 1, False)], [("c", 1, 2, False)]]
+    tall = [[("a", 2, 2, False), ("b", 1, 1, False)], [("c", 1, 2, False), ("d", 1, 1, False)], []]
+    assert [x[:4] for x in TB.place_cells(tall, fill=True)] == [(0, 0, 2, 2), (0, 2, 1, 1), (1, 2, 1, 2), (1, 4, 1, 1), (0, 3, 1, 1), (0, 4, 1, 1), (2, 0, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1), (2, 3, 1, 1), (2, 4, 1, 1)]
+    cap, rows = TB.html_rows("<TABLE><tr><td>a &lt; b<!-- <td>x --><td COLSPAN = '2' data-rowspan=3>c</tr><tr></tr><tr><th><b>d</b>  e</table>")
+    assert cap == "" and rows == [[("a < b", 1, 1, False), ("c", 1, 2, False)], [], [("d e", 1, 1, True)]]
     assert TB.place_cells(clash)[-1][:4] == (1, 0, 1, 1) and TB.place_cells(clash, shrink=False)[-1][:4] == (1, 0, 1, 1)
 
 
+def test_listed_grid(spark):
+    schema = "k long, rows array<array<struct<text: string, row_span: int, col_span: int, is_header: boolean>>>, cap string"
+    rows = [(1, [[("a", 2, 1, True), ("b", 1, 1, None)], None, [(None, 0, None, None), None]], "C"), (2, None, "x"), (3, [], None)]
+    df = spark.createDataFrame(rows, schema)
+    got = sorted(tuple(r) for r in TB.listed_grid(df, "k", F.col("rows"), "cap").collect())
+    assert got == [(1, "C", 0, 0, 2, 1, "a", True), (1, "C", 0, 1, 1, 1, "b", False), (1, "C", 1, 1, 1, 1, "", False), (1, "C", 2, 0, 1, 1, "", False), (1, "C", 2, 1, 1, 1, "", False)]
+
+
 def test_pages(spark):
     toc = "TABLE OF CONTENTS\n" + "\n".join(f"{i}.{j} Some Title ....... {i * j}" for i in range(1, 4) for j in range(1, 4))
     prose = "the pump of the yard is in a box and " * 20
