@@ -130,6 +130,15 @@ def contained(pred: DataFrame, inner: int, outer: int, share: float = 0.8) -> Da
     return i.join(o, "image").filter(G.overlap(G.box(), G.box("o_")) > share * G.area(G.box())).select("image", "class_id", "det_id").distinct()
 
 
+def with_parent(pred: DataFrame, captions: list[int], parents: list[int], reach: float = 0.15) -> DataFrame:
+    """Boxes of the classes `captions` that touch one of the classes `parents` of their image, made taller by
+    `reach` of its height both ways. The others are orphans."""
+    tall = (F.col("y2") - F.col("y1")) * reach
+    o = pred.filter(F.col("class_id").isin(parents)).select("image", F.col("x1").alias("o_x1"), (F.col("y1") - tall).alias("o_y1"), F.col("x2").alias("o_x2"), (F.col("y2") + tall).alias("o_y2"))
+    i = pred.filter(F.col("class_id").isin(captions))
+    return i.join(o, "image").filter(G.overlap(G.box(), G.box("o_")) > 0).select("image", "class_id", "det_id").distinct()
+
+
 def rarity(labels: DataFrame) -> DataFrame:
     """Score of an image: that of its rarest class, one over the class's count."""
     n = labels.groupBy("class_id").agg(F.count("*").alias("class_n"))

@@ -1,7 +1,11 @@
-"""The section feature table: one row a section, feature columns by the names of the CSV contract.
+"""The section feature table: one row a section, its columns by the names of the CSV contract (17 that describe the
+row and start with an underscore, 162 features).
 
-Input: sections as in operators.sequence plus optional columns (conf_mean, conf_min, conf_max, conf_std, n_words, n_low,
-content); missing ones count as absent. Tagger columns (lang_*) come from a plug-in and are joined by (doc, seq).
+Input: sections as in operators.sequence plus optional columns: conf_mean, conf_min, conf_max, conf_std, n_words, n_low,
+n_blocks, n_pars, word_num_first, block_num, par_num, line_num, level (recognition), leading_whitespace,
+text_before_number, original_line_length, newlines_before (where the number was found), content, label. Missing ones, and
+nulls, count as absent: 0 or empty. Tagger columns (lang_*) come from a plug-in as a table by (doc, seq) and are 0
+without it. Null titles and numbers are empty ones.
 """
 
 from __future__ import annotations
@@ -12,9 +16,18 @@ from pyspark.sql import functions as F
 from quirefold.functions import numbers as N
 from quirefold.functions import text as T
 from quirefold.operators import sequence as Q
+from quirefold.session import written
 
 #: Words that open instructions, words of major sections.
 IMPERATIVES = ("see", "refer", "note", "ensure", "verify", "check", "use", "apply", "follow", "review", "contact", "consult", "consider")
+REFERENCE_WORDS = ("see", "refer", "section", "para", "paragraph", "item", "ref", "per")
+LANGUAGE = ("lang_root_is_verb", "lang_root_is_noun", "lang_has_finite_verb", "lang_has_verb", "lang_starts_det", "lang_starts_imperative", "lang_has_subject", "lang_is_complete_sentence", "lang_has_modal", "lang_word_count")
+#: What each feature adds to the combined confidence.
+WEIGHTS = {
+    "is_logical_next": 0.15, "next_is_logical_successor": 0.15, "in_toc_exact": 0.2, "parent_exists": 0.1, "title_has_section_keyword": 0.1, "has_large_vertical_gap": 0.05, "lang_root_is_noun": 0.05, "looks_like_date": -0.3,
+    "title_absurdly_long": -0.2, "subsection_looks_like_decimal": -0.15, "has_small_vertical_gap": -0.05, "title_is_blank": -0.3, "title_is_useless": -0.2, "lang_root_is_verb": -0.1, "lang_has_finite_verb": -0.1, "lang_is_complete_sentence": -0.15,
+    "lang_has_modal": -0.1, "lang_starts_imperative": -0.1, "late_page_bad_sequence": -0.15, "late_page_useless_title": -0.2, "height_is_multiline": -0.1, "height_is_very_tall": -0.15, "major_section_gt_10": -0.1, "major_section_gt_20": -0.1,
+}
 MAJOR_KEYWORDS = ("scope", "introduction", "overview", "requirements", "references", "documents", "definitions", "general", "verification", "quality", "packaging", "notes", "appendix")
 
 
@@ -26,16 +39,17 @@ def _part(a: Column, b: Column | float, otherwise: float = 0.0) -> Column:
     return F.round(F.coalesce(F.try_divide(a.cast("double"), b if isinstance(b, Column) else F.lit(b)), F.lit(otherwise)), 6)
 
 
-def section_features(sections: DataFrame, toc: DataFrame, page_width: float, page_height: float, line_height: float = 30.0) -> DataFrame:
-    """doc, seq and the features. toc: doc, num."""
+def section_features(sections: DataFrame, toc: DataFrame, page_width: float, page_height: float, language: DataFrame | None = None) -> DataFrame:
+    """doc, seq, what describes the row, and the features. toc: doc, num; language: doc, seq and the lang_* columns."""
     have = set(sections.columns)
-    x = Q.toc_fuzzy(Q.format_score(Q.parsed(sections)).drop("n", "k", "hist", "uppers", "titles"), toc)
-    x = x.join(Q.gap_features(Q.parsed(sections)).select("doc", "seq", "gap", "gap_z", "large", "small"), ["doc", "seq"])
-    x = x.join(Q.fit_score(Q.parsed(sections)).select("doc", "seq", "fit_score", "is_next", "next_is", "both", "first", "last"), ["doc", "seq"])
-    x = x.join(Q.extended_score(Q.parsed(sections)).select("doc", "seq", "extended_score"), ["doc", "seq"])
-    s = Q.doc_stats(Q.parsed(sections))
-    by_depth = Q.parsed(sections).groupBy("doc", "depth").agg(F.median("x_left").alias("depth_x"), F.coalesce(F.stddev_samp("x_left"), F.lit(1.0)).alias("depth_x_dev"))
-    low = sections.groupBy("doc").agg(F.min("x_left").alias("x_min"), F.max("page").alias("pages"))
+    base = written(Q.parsed(sections), "sections")  # read by every branch below
+    x = Q.toc_fuzzy(Q.format_score(base).drop("n", "k", "hist", "uppers", "titles"), toc)
+    x = x.join(Q.gap_features(base).select("doc", "seq", "gap", "gap_z", "large", "small"), ["doc", "seq"])
+    x = x.join(Q.fit_score(base).select("doc", "seq", "fit_score", "is_next", "next_is", "both", "first", "last"), ["doc", "seq"])
+    x = x.join(Q.extended_score(base).select("doc", "seq", "extended_score"), ["doc", "seq"])
+    s = Q.doc_stats(base)
+    by_depth = base.groupBy("doc", "depth").agg(F.median("x_left").alias("depth_x"), F.coalesce(F.stddev_samp("x_left"), F.lit(1.0)).alias("depth_x_dev"))
+    low = base.groupBy("doc").agg(F.min("x_left").alias("x_min"), F.max("page").alias("pages"), F.median("h").alias("h_median"))
     x = x.join(s, "doc").join(by_depth, ["doc", "depth"]).join(low, "doc")
     w, page = Window.partitionBy("doc").orderBy("seq"), Window.partitionBy("doc", "page")
     x = x.withColumns({"p_major": F.lag("major").over(w), "n_major": F.lead("major").over(w), "p_depth": F.lag("depth").over(w), "idx": F.row_number().over(w) - 1, "same_page": F.count("*").over(page)})
@@ -43,6 +57,8 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
     x = x.withColumn("parent", F.array_join(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))), ".")).join(numbers, ["doc", "parent"], "left")
     x = x.join(toc.select("doc", F.col("num").alias("parent"), F.lit(1).alias("toc_parent")).distinct(), ["doc", "parent"], "left")
 
+    if language is not None:
+        x = x.join(language.select("doc", "seq", *[k for k in LANGUAGE if k in language.columns]), ["doc", "seq"], "left")
     c = F.col
     get = lambda n, d=0.0: F.coalesce(c(n), F.lit(d)) if n in have else F.lit(d)
     t, num = F.coalesce("topic", F.lit("")), F.coalesce("section_number", F.lit(""))
@@ -64,19 +80,38 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
     y_pct = c("y_top") / page_height
     body = F.coalesce(c("content"), F.lit("")) if "content" in have else F.lit("")
     chars, n_words = F.length(t), F.size(ws)
-    rel = c("h") / line_height
+    tall = c("h_median") > 0
+    rel = F.when(tall, c("h") / c("h_median")).otherwise(1.0)
+    raw = F.regexp_replace(num, " ", "")
+    raw_len, ratio = F.length(raw), F.coalesce(F.try_divide(F.length(raw).cast("double"), c("depth")), F.lit(0.0))
+    pure = raw.rlike(r"^\p{Nd}+$")
+    subs = F.array_max(F.slice(N.ints(c("parts")), 2, F.greatest(F.size("parts") - 1, F.lit(0))))
+    largest = F.coalesce(subs, F.lit(0))
+    text_of = lambda n: F.coalesce(c(n).cast("string"), F.lit("")) if n in have else F.lit("")
+    led, before = get("leading_whitespace", 0), text_of("text_before_number")
+    spread = get("conf_max") - get("conf_min")
     out = {
+        # the row
+        "_doc_name": c("doc").cast("string"), "_index": c("idx"), "_section_number_raw": num, "_title": F.substring(t, 1, 100), "_title_full_length": chars, "_page": F.coalesce(c("page"), F.lit(0)), "_label": text_of("label"),
+        "_fingerprint": F.concat(c("doc").cast("string"), F.lit("|"), F.coalesce(c("page"), F.lit(0)).cast("string"), F.lit("|"), F.coalesce(c("x_left").cast("int"), F.lit(0)).cast("string"), F.lit("_"), F.coalesce(c("y_top").cast("int"), F.lit(0)).cast("string")),
+        "_ocr_block_num": text_of("block_num"), "_ocr_par_num": text_of("par_num"), "_ocr_line_num": text_of("line_num"), "_ocr_word_count": text_of("n_words"), "_ocr_conf_mean": text_of("conf_mean"), "_ocr_conf_min": text_of("conf_min"),
+        "_ocr_conf_max": text_of("conf_max"), "_ocr_level": text_of("level"), "_section_number_normalized": c("num"),
         # recognition
-        "ocr_conf_mean": get("conf_mean"), "ocr_conf_min": get("conf_min"), "ocr_conf_max": get("conf_max"), "ocr_conf_std": get("conf_std"), "ocr_word_count": get("n_words", 0), "ocr_low_conf_count": get("n_low", 0),
-        "ocr_conf_below_50": _flag(get("conf_mean") < 50), "ocr_conf_below_30": _flag(get("conf_mean") < 30), "ocr_mostly_low": _flag(get("n_low", 0) > get("n_words", 0) / 2), "ocr_conf_spread": get("conf_max") - get("conf_min"),
+        "ocr_conf_mean": get("conf_mean"), "ocr_conf_min": get("conf_min"), "ocr_conf_max": get("conf_max"), "ocr_conf_std": get("conf_std"), "ocr_word_count": get("n_words", 0), "ocr_low_conf_word_count": get("n_low", 0),
+        "ocr_conf_below_50": _flag(get("conf_mean") < 50), "ocr_conf_below_30": _flag(get("conf_mean") < 30), "ocr_has_low_conf_word": _flag(get("n_low", 0) > 0), "ocr_mostly_low_conf": _flag(get("n_low", 0) > get("n_words", 0) / 2) * _flag(get("n_words", 0) > 0),
+        "ocr_conf_spread": spread, "ocr_conf_high_spread": _flag(spread > 50), "ocr_spans_multiple_blocks": _flag(get("n_blocks", 0) > 1), "ocr_spans_multiple_pars": _flag(get("n_pars", 0) > 1),
+        "ocr_is_first_word_in_line": _flag(get("word_num_first", 0) <= 1), "ocr_word_num_first": get("word_num_first", 0),
         # number
-        "section_depth": c("depth"), "depth_vs_median": c("depth") - c("depth_median"), "major_section": F.coalesce("major", F.lit(0)), "section_major_seen_before": _flag(c("major").isNotNull()), "is_simple_number": _flag(c("depth") == 1),
-        "parent_exists": _flag(c("there") == 1), "has_non_numeric_part": _flag(F.exists("parts", lambda p: ~p.rlike(r"^\d+$"))), "max_subsection": F.coalesce(F.array_max(F.slice(N.ints(c("parts")), 2, 100)), F.lit(0)), "subsection_looks_like_decimal": _flag(N.decimal_classify(c("num"))),
-        "section_num_length": F.length(num), "section_num_alpha_count": count(r"[^\p{L}]"), "section_num_dot_count": count(r"[^.]"), "section_num_separator_count": count(r"[^.,\-]"), "section_num_is_pure_digits": _flag(num.rlike(r"^\d+$")),
-        "section_num_is_mixed": _flag(num.rlike(r"\d") & num.rlike(r"\p{L}")), "section_num_len_per_depth": _part(F.length(num), c("depth"), 999.0), "section_num_suspicious_ratio": _flag(F.try_divide(F.length(num).cast("double"), c("depth")) > 2), "section_num_double_dot": _flag(F.contains(num, F.lit(".."))),
-        "section_num_edge_dot": _flag(num.rlike(r"^\.|\.$")),
+        "section_depth": c("depth"), "section_depth_vs_median": F.when(F.coalesce("depth_median", F.lit(0.0)) != 0, c("depth") - c("depth_median")).otherwise(0.0), "section_major": F.coalesce("major", F.lit(-1)), "section_major_seen_before": _flag(c("major").isNotNull()),
+        "is_simple_number": _flag(c("depth") == 1), "parent_exists": _flag((c("there") == 1) & (c("parent") != "")), "has_non_numeric_part": _flag(F.exists("parts", lambda p: ~p.rlike(r"^\d+$"))), "max_subsection_value": largest, "subsection_looks_like_decimal": _flag(largest >= 50),
+        # number as written
+        "section_num_alpha_count": count(r"[^\p{L}]"), "section_num_too_many_alpha": _flag(count(r"[^\p{L}]") > 2), "section_num_is_pure_digits": _flag(pure), "section_num_pure_digit_length": F.when(pure, raw_len).otherwise(0), "section_num_pure_digits_too_long": _flag(pure & (raw_len > 3)),
+        "section_num_mixed_no_dot": _flag(num.rlike(r"\p{Nd}") & num.rlike(r"\p{L}") & ~F.contains(num, F.lit("."))), "section_num_length_to_depth_ratio": F.round(ratio, 6), "section_num_ratio_suspicious": _flag(ratio > 2), "section_num_raw_length": raw_len,
+        "section_num_dot_count": count(r"[^.]"), "section_num_dots_match_depth": _flag(count(r"[^.]") == c("depth") - 1), "section_num_has_hyphen": _flag(F.contains(num, F.lit("-"))), "section_num_has_comma": _flag(F.contains(num, F.lit(","))), "section_num_has_space": _flag(F.contains(num, F.lit(" "))),
+        "section_num_non_standard_char_count": count(r"[\p{Nd}.]"), "section_num_has_letters": _flag(num.rlike(r"\p{L}")), "section_num_has_double_dot": _flag(F.contains(num, F.lit(".."))), "section_num_starts_with_dot": _flag(F.startswith(num, F.lit("."))), "section_num_ends_with_dot": _flag(F.endswith(num, F.lit("."))),
         # context
-        "had_leading_whitespace": F.lit(0), "had_text_before_number": F.lit(0), "line_length": F.length(num) + 1 + chars,
+        "had_leading_whitespace": _flag(led > 0), "leading_whitespace_len": led, "had_text_before_number": _flag(before != ""), "text_before_number_len": F.length(before), "text_before_is_reference": _flag(F.exists(F.array(*[F.lit(w) for w in REFERENCE_WORDS]), lambda w: F.contains(F.lower(before), w))),
+        "original_line_length": get("original_line_length", 0), "newlines_before_section_num": get("newlines_before", 0),
         # horizontal place
         "x_near_left_margin": _flag(c("x_left") <= c("x_min") * 1.5), "x_distance_from_min": c("x_left") - c("x_min"), "x_matches_depth_indent": _flag(F.abs(c("x_left") - c("depth_x")) < 50),
         # sequence
@@ -89,6 +124,7 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
         "bbox_top_pct": _part(c("y_top"), page_height), "bbox_bottom_pct": _part(bottom, page_height), "bbox_height_pct": _part(c("h"), page_height), "bbox_center_y_pct": _part(c("y_top") + c("h") / 2, page_height), "x_deviation_from_median": _part(c("x_left") - c("x_median"), c("x_dev")),
         "y_deviation_from_median": _part(c("y_top") - c("y_median"), c("y_dev")), "x_deviation_from_depth_median": _part(c("x_left") - c("depth_x"), c("depth_x_dev")), "is_near_left_margin": _flag(c("x_left") / page_width < 0.15), "is_indented": _flag(c("x_left") / page_width > 0.10),
         "is_in_header_zone": _flag(y_pct < 0.10), "is_in_footer_zone": _flag(y_pct > 0.90),
+        "x_position_relative": _part(c("x_left"), page_width), "y_position_relative": _part(c("y_top"), page_height), "width_relative": _part(c("w"), page_width),
         # title
         "title_length_chars": chars, "title_length_words": n_words, "title_length_z_score": _part(chars - c("len_median"), c("len_dev")), "title_is_empty": _flag(blank), "title_starts_capital": _flag(t.rlike(r"^\p{Lu}")), "title_is_all_caps": _flag(upper), "title_is_title_case": _flag(titled),
         "title_starts_with_article": _flag(first.isin("the", "a", "an", "this", "that")), "title_starts_with_imperative": _flag(first.isin(*IMPERATIVES)), "title_starts_with_month": _flag(month),
@@ -102,8 +138,10 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
         "title_sentence_break_count": F.size(F.regexp_extract_all(t, F.lit(r"\.\s+[A-Z]"), F.lit(0))), "title_has_multiple_sentences": _flag(t.rlike(r"\.\s+[A-Z]")),
         # blank
         "title_is_whitespace_only": _flag((t != "") & blank), "title_is_truly_empty": _flag(t == ""), "title_is_blank": _flag(blank), "title_is_very_short": _flag(short), "title_is_punctuation_only": _flag(punct), "title_is_numeric_only": _flag(digits), "title_is_useless": _flag(useless),
+        # language
+        **{k: F.when(t == "", 0).otherwise(F.coalesce(c(k), F.lit(0))) if language is not None and k in language.columns else F.lit(0) for k in LANGUAGE},
         # height
-        "relative_height": F.round(rel, 6), "height_is_multiline": _flag(rel > 1.8), "height_is_very_tall": _flag(rel > 3),
+        "relative_height": F.round(rel, 6), "height_is_multiline": _flag(tall & (c("h") > c("h_median") * 1.8)), "height_is_very_tall": _flag(tall & (c("h") > c("h_median") * 3)),
         # page
         "page_position_y_pct": F.round(y_pct, 6), "is_in_bottom_third": _flag(y_pct > 0.67), "is_in_bottom_quarter": _flag(y_pct > 0.75), "late_page_bad_sequence": _flag((y_pct > 0.67) & (c("is_next") == 0) & ~c("first")), "late_page_useless_title": _flag((y_pct > 0.67) & useless),
         # major
@@ -117,4 +155,6 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
         # scores
         "in_logical_sequence": F.when(c("first") | c("last"), F.when(c("first"), 1).otherwise(c("is_next"))).otherwise(c("both")), "sequence_fit_score": c("fit_score"), "format_consistency_score": c("format_score"), "title_quality_score": T.title_quality(t),
     }
-    return x.select("doc", "seq", *[v.alias(k) for k, v in out.items()])
+    y = x.select("doc", "seq", *[v.alias(k) for k, v in out.items()])
+    score = sum((c(k).cast("int") * w for k, w in WEIGHTS.items()), F.when(c("title_quality_score") > 0.5, 0.1).otherwise(0.0) + F.when(c("had_text_before_number") == 0, 0.1).otherwise(-0.1))
+    return y.withColumn("combined_confidence", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 6))

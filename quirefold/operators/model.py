@@ -133,18 +133,3 @@ def redundant_pairs(df: DataFrame, columns: Sequence[str], least: float = 0.9) -
 
     pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(corr(a, b), 6).alias("corr")) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     return df.agg(F.array(*pairs).alias("p")).select(F.explode("p").alias("x")).select("x.*").filter(F.abs("corr") > least)
-
-
-def combined_confidence(x: DataFrame) -> Column:
-    """Weighted sum of indicators, 0 to 1. Columns that x lacks count as 0."""
-    #: What each indicator adds.
-    weights = {
-        "is_next": 0.15, "next_is": 0.15, "in_toc": 0.2, "parent_exists": 0.1, "has_keyword": 0.1, "good_title": 0.1, "large": 0.05, "no_text_before": 0.1, "root_is_noun": 0.05,
-        "looks_like_date": -0.3, "absurdly_long": -0.2, "decimal_like": -0.15, "small": -0.05, "title_blank": -0.3, "title_useless": -0.2, "root_is_verb": -0.1, "finite_verb": -0.1,
-        "complete_sentence": -0.15, "has_modal": -0.1, "starts_imperative": -0.1, "late_bad_sequence": -0.15, "late_useless": -0.2, "multiline": -0.1, "very_tall": -0.15, "major_gt_20": -0.2, "major_gt_10": -0.1,
-    }
-    s = F.lit(0.0)
-    for c, w in weights.items():
-        if c in x.columns:
-            s = s + F.when(F.col(c).cast("int") == 1, w).otherwise(0.0)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), s)), 6)

@@ -115,6 +115,13 @@ def classified(types: DataFrame, run: int = 3, first: int = 20, more: int = 10)
     return x.filter(F.col("idx") <= end).select("doc", "idx", "page_type")
 
 
+def content_pages(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """The rows (doc, page, ...) of pages from where their document's content starts (doc, start); documents without a
+    start are content from their first page on, rows without a page are left out."""
+    s = starts.select("doc", F.col("start").alias("__start"))
+    return rows.join(s, "doc", "left").filter(F.col("page") >= F.coalesce("__start", "page")).drop("__start")
+
+
 def content_start(types: DataFrame) -> DataFrame:
     """doc, start, document_type from the sequence of page types (doc, page, page_type)."""
     w = Window.partitionBy("doc").orderBy("page")

@@ -41,10 +41,10 @@ def gaps(x: DataFrame) -> DataFrame:
 def gap_features(x: DataFrame) -> DataFrame:
     """Gap with its share of the document's usual gap: large over 1.5, small under half the median."""
     g = gaps(x)
-    s = g.filter("gap >= 0").groupBy("doc").agg(F.median("gap").alias("gap_median"), F.coalesce(F.stddev_samp("gap"), F.lit(1.0)).alias("gap_dev"), F.avg("gap").alias("gap_mean"))
+    s = g.filter("gap >= 0").groupBy("doc").agg(F.median("gap").alias("gap_median"), F.coalesce(F.stddev_samp("gap"), F.lit(1.0)).alias("gap_dev"))
     g = g.join(s, "doc", "left")
     has = F.col("gap") >= 0
-    z = F.when(has & (F.col("gap_dev") > 0), (F.col("gap") - F.col("gap_mean")) / F.col("gap_dev")).otherwise(0.0)
+    z = F.when(has & (F.col("gap_dev") > 0), (F.col("gap") - F.col("gap_median")) / F.col("gap_dev")).otherwise(0.0)
     return g.withColumn("gap_z", z).withColumn("large", (has & (F.col("gap") > 1.5 * F.col("gap_median"))).cast("int")).withColumn("small", (has & (F.col("gap") < 0.5 * F.col("gap_median"))).cast("int"))
 
 

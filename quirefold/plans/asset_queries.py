@@ -120,6 +120,26 @@ def j10_containment(spark: SparkSession, d: str) -> DataFrame:
     return E.contained(_pred(spark, d), 5, 3, 0.2)
 
 
+def j10_with_parent(spark: SparkSession, d: str) -> DataFrame:
+    """Boxes of class 5 that touch one of class 3 made taller."""
+    return E.with_parent(_pred(spark, d), [5], [3])
+
+
+def g4_near_captions(spark: SparkSession, d: str) -> DataFrame:
+    """How far each asset's caption lies from it, and whether that is near."""
+    a = V.assets(spark, d).filter("caption_bbox is not null")
+    cap = [F.get("caption_bbox", F.lit(i)).cast("double") for i in range(4)]
+    return a.select("asset_key", F.round(G.distance(G.box(), cap, F.col("ih")), 6).alias("distance"), G.near(G.box(), cap, F.col("ih")).alias("near"))
+
+
+def g2_page_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """The page size of each asset: its image's, else the largest of its document's, else a page that holds the box."""
+    a = V.assets(spark, d)
+    of_doc = a.groupBy("doc").agg(F.max("iw").alias("dw"), F.max("ih").alias("dh"))
+    w, h = G.page_size(F.when(F.col("asset_key") % 3 != 0, F.col("iw")), F.col("ih"), G.box(), (V.PAGE_W, V.PAGE_H), (F.when(F.col("asset_key") % 2 == 0, F.col("dw")), F.col("dh")))
+    return a.join(of_doc, "doc").select("asset_key", w.alias("width"), h.alias("height"))
+
+
 def p14_threshold(spark: SparkSession, d: str) -> DataFrame:
     """Detections that reach their class's threshold, 0.25 where none is set."""
     th = F.when(F.col("class_id") == 3, 0.5).when(F.col("class_id") == 5, 0.35).otherwise(0.25)
@@ -181,7 +201,7 @@ def r4_caption_seq(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (s6_asset_scan, g1_normalized_boxes, p10_hole_punch, p11_validation_cascade, w11_asset_numbers, j2_caption_words, j3_nearest_caption, j4_three_tier_lookup, o1_reading_order, a16_type_counts, g3_iou_pairs,
-                                   j9_greedy_match, a13_prf_rollup, a15_wbf, g7_suppress, j10_containment, p14_threshold, a14_rarity, o4_stratified_split, j15_compare_runs, a17_confusion, a5_corr, a10_vocabulary, k9_presence, r4_caption_seq)}
+                                   j9_greedy_match, a13_prf_rollup, a15_wbf, g7_suppress, j10_containment, j10_with_parent, g4_near_captions, g2_page_sizes, p14_threshold, a14_rarity, o4_stratified_split, j15_compare_runs, a17_confusion, a5_corr, a10_vocabulary, k9_presence, r4_caption_seq)}
 # p<number>_ names are those of the training-data problems; the inventory's P10, P11 and P14 go by their own words
 for _old, _new in (("p10_hole_punch", "hole_punch"), ("p11_validation_cascade", "validation_cascade"), ("p14_threshold", "class_threshold")):
     QUERIES[_new] = QUERIES.pop(_old)
@@ -223,6 +243,13 @@ SQL = {
         g AS (SELECT class_id, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(gt) - sum(tp) AS BIGINT) AS fn FROM u GROUP BY ROLLUP (class_id)), r AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p, coalesce(tp / nullif(tp + fn, 0), 0) AS rc FROM g)
         SELECT class_id, tp, fp, fn, round(p, 6) AS precision, round(rc, 6) AS recall, round(coalesce(2 * p * rc / nullif(p + rc, 0), 0), 6) AS f1 FROM r""",
     "j10_containment": f"WITH {_PRED} SELECT DISTINCT i.image, i.class_id, i.det_id FROM pred i JOIN pred o ON i.image = o.image AND o.class_id = 3 WHERE i.class_id = 5 AND greatest(least(i.x2, o.x2) - greatest(i.x1, o.x1), 0) * greatest(least(i.y2, o.y2) - greatest(i.y1, o.y1), 0) > 0.2 * (i.x2 - i.x1) * (i.y2 - i.y1)",
+    "j10_with_parent": f"""WITH {_PRED} SELECT DISTINCT i.image, i.class_id, i.det_id FROM pred i JOIN pred o ON i.image = o.image AND o.class_id = 3 WHERE i.class_id = 5
+        AND least(i.x2, o.x2) > greatest(i.x1, o.x1) AND least(i.y2, o.y2 + 0.15 * (o.y2 - o.y1)) > greatest(i.y1, o.y1 - 0.15 * (o.y2 - o.y1))""",
+    "g4_near_captions": f"""WITH {V.ASSETS}, c AS (SELECT asset_key, CASE WHEN ih > 0 AND least(x2, caption_bbox[3]) - greatest(x1, caption_bbox[1]) >= 0.3 * (x2 - x1) THEN
+        CASE WHEN caption_bbox[4] <= y1 THEN y1 - caption_bbox[4] WHEN caption_bbox[2] >= y2 THEN caption_bbox[2] - y2 ELSE 0 END / ih END AS v FROM assets WHERE caption_bbox IS NOT NULL)
+        SELECT asset_key, CAST(round(v, 6) AS DOUBLE) AS distance, coalesce(v < 0.1, false) AS near FROM c""",
+    "g2_page_sizes": f"""WITH {V.ASSETS}, o AS (SELECT doc, max(iw) AS dw, max(ih) AS dh FROM assets GROUP BY doc), x AS (SELECT asset_key, CASE WHEN asset_key % 3 <> 0 AND iw > 0 AND ih > 0 THEN 1 WHEN asset_key % 2 = 0 AND dw > 0 AND dh > 0 THEN 2 ELSE 3 END AS k, * EXCLUDE (asset_key) FROM assets JOIN o USING (doc))
+        SELECT asset_key, CAST(CASE k WHEN 1 THEN iw WHEN 2 THEN dw ELSE greatest({V.PAGE_W}, coalesce(x2, 0)) END AS DOUBLE) AS width, CAST(CASE k WHEN 1 THEN ih WHEN 2 THEN dh ELSE greatest({V.PAGE_H}, coalesce(y2, 0)) END AS DOUBLE) AS height FROM x""",
     "class_threshold": f"WITH {_PRED} SELECT class_id, count(*) AS n FROM pred WHERE conf >= CASE class_id WHEN 3 THEN 0.5 WHEN 5 THEN 0.35 ELSE 0.25 END GROUP BY class_id",
     "a14_rarity": f"WITH {_TRUTH}, n AS (SELECT class_id, count(*) AS c FROM truth GROUP BY class_id) SELECT image, round(max(1 / c), 9) AS score FROM truth JOIN n ON truth.class_id = n.class_id GROUP BY image",
     "o4_stratified_split": f"WITH {_TRUTH}, n AS (SELECT count(DISTINCT image) AS c FROM truth) SELECT 'val' AS split, (c + 4) // 5 AS n FROM n UNION ALL SELECT 'train', c - (c + 4) // 5 FROM n",

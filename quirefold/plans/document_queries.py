@@ -26,6 +26,13 @@ def f_section_features(spark: SparkSession, d: str) -> DataFrame:
     return FE.section_features(s, S._toc(Q.parsed(s)), V.PAGE_W, V.PAGE_H)
 
 
+def f_row_and_number(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table's columns on the row, the number, where it was found, the gap and the height."""
+    f = f_section_features(spark, d)
+    return f.select("doc", "seq", *[c for c in f.columns if c[0] == "_" and not c.startswith("_ocr") or c.startswith(("section_", "max_sub", "subsection", "had_", "text_before", "leading", "original", "newlines", "height_", "vertical_gap_from_prev_px", "lang_"))],
+                    "relative_height", "vertical_gap_z_score", "is_simple_number", "parent_exists", "has_non_numeric_part", "ocr_conf_below_30", "ocr_is_first_word_in_line")
+
+
 def n23_title_confidence(spark: SparkSession, d: str) -> DataFrame:
     s = V.sections(spark, d).select("doc", "seq", "topic", RP.legacy_parts(F.col("section_number")).alias("p"))
     return s.select("doc", "seq", F.round(RP.title_confidence(F.col("topic")), 6).alias("title"), RP.section_confidence(F.col("p"), F.col("topic")).alias("section"))
@@ -86,7 +93,7 @@ def r3_table_route(spark: SparkSession, d: str) -> DataFrame:
     return R.table_route(x)
 
 
-QUERIES = {f.__name__: f for f in (f_section_features, n23_title_confidence, w13_tracker, x4_demote, r1_render_plan, r3_table_route, g6_column_widths, u1_open_pages, q1_json_answers, k1_json_documents, k5_word_documents, event_hours)}
+QUERIES = {f.__name__: f for f in (f_section_features, f_row_and_number, n23_title_confidence, w13_tracker, x4_demote, r1_render_plan, r3_table_route, g6_column_widths, u1_open_pages, q1_json_answers, k1_json_documents, k5_word_documents, event_hours)}
 _L = lambda ws: ", ".join(f"'{w}'" for w in ws)
 SQL = {
     "n23_title_confidence": "WITH " + V.SECTIONS + rf""", a AS (SELECT doc, seq, topic, lower(regexp_replace(topic, '^\s+|\s+$', '', 'g')) AS low, [w FOR w IN regexp_split_to_array(topic, '\s+') IF w <> ''] AS ws,
@@ -112,3 +119,19 @@ SQL = {
     "q1_json_answers": None,
 }
 SQL = {k: v for k, v in SQL.items() if v}
+_ZERO = ("had_leading_whitespace", "leading_whitespace_len", "had_text_before_number", "text_before_number_len", "text_before_is_reference", "original_line_length", "newlines_before_section_num", *FE.LANGUAGE)
+_IF = lambda cond, name: f"CASE WHEN {cond} THEN 1 ELSE 0 END AS {name}"
+SQL["f_row_and_number"] = "WITH " + V.PARSED + rf""",
+    g AS (SELECT *, row_number() OVER w - 1 AS idx, CASE WHEN lag(page) OVER w = page AND y_top >= lag(y_top + h) OVER w THEN y_top - lag(y_top + h) OVER w ELSE -1 END AS gap,
+            coalesce(list_max([try_cast(p AS INTEGER) FOR p IN parts[2:]]), 0) AS sub, replace(section_number, ' ', '') AS raw, length(regexp_replace(section_number, '[^\p{{L}}]', '', 'g')) AS alpha,
+            length(regexp_replace(section_number, '[^.]', '', 'g')) AS dots, array_to_string(parts[1:depth - 1], '.') AS parent FROM parsed WINDOW w AS (PARTITION BY doc ORDER BY seq)),
+    s AS (SELECT doc, median(depth) AS dm, median(h) AS hm FROM g GROUP BY doc), gs AS (SELECT doc, median(gap) AS gm, coalesce(stddev_samp(gap), 1) AS gd FROM g WHERE gap >= 0 GROUP BY doc), n AS (SELECT DISTINCT doc, num AS parent FROM g),
+    x AS (SELECT g.*, dm, hm, gm, gd, n.parent IS NOT NULL AND g.parent <> '' AS has_parent, regexp_full_match(raw, '\p{{Nd}}+') AS pure, CASE WHEN depth > 0 THEN length(raw) / depth ELSE 0 END AS ratio FROM g JOIN s ON g.doc = s.doc LEFT JOIN gs ON g.doc = gs.doc LEFT JOIN n ON g.doc = n.doc AND g.parent = n.parent)
+    SELECT doc, seq, CAST(doc AS VARCHAR) AS _doc_name, idx AS _index, section_number AS _section_number_raw, topic[1:100] AS _title, length(topic) AS _title_full_length, page AS _page, '' AS _label, doc || '|' || page || '|' || x_left || '_' || y_top AS _fingerprint, num AS _section_number_normalized,
+        depth AS section_depth, CAST(CASE WHEN dm <> 0 THEN depth - dm ELSE 0 END AS DOUBLE) AS section_depth_vs_median, coalesce(major, -1) AS section_major, {_IF("major IS NOT NULL", "section_major_seen_before")}, sub AS max_subsection_value, {_IF("sub >= 50", "subsection_looks_like_decimal")},
+        alpha AS section_num_alpha_count, {_IF("alpha > 2", "section_num_too_many_alpha")}, {_IF("pure", "section_num_is_pure_digits")}, CASE WHEN pure THEN length(raw) ELSE 0 END AS section_num_pure_digit_length, {_IF("pure AND length(raw) > 3", "section_num_pure_digits_too_long")},
+        {_IF("alpha > 0 AND regexp_matches(section_number, '[0-9]') AND dots = 0", "section_num_mixed_no_dot")}, round(ratio, 6) AS section_num_length_to_depth_ratio, {_IF("ratio > 2", "section_num_ratio_suspicious")}, length(raw) AS section_num_raw_length, dots AS section_num_dot_count,
+        {_IF("dots = depth - 1", "section_num_dots_match_depth")}, {_IF("contains(section_number, '-')", "section_num_has_hyphen")}, {_IF("contains(section_number, ',')", "section_num_has_comma")}, {_IF("contains(section_number, ' ')", "section_num_has_space")},
+        length(regexp_replace(section_number, '[0-9.]', '', 'g')) AS section_num_non_standard_char_count, {_IF("alpha > 0", "section_num_has_letters")}, {_IF("contains(section_number, '..')", "section_num_has_double_dot")}, {_IF("starts_with(section_number, '.')", "section_num_starts_with_dot")}, {_IF("ends_with(section_number, '.')", "section_num_ends_with_dot")},
+        {", ".join(f"0 AS {c}" for c in _ZERO)}, gap AS vertical_gap_from_prev_px, round(CASE WHEN gap >= 0 AND gd > 0 THEN (gap - gm) / gd ELSE 0 END, 6) AS vertical_gap_z_score, round(CASE WHEN hm > 0 THEN h / hm ELSE 1 END, 6) AS relative_height, {_IF("hm > 0 AND h > 1.8 * hm", "height_is_multiline")}, {_IF("hm > 0 AND h > 3 * hm", "height_is_very_tall")},
+        {_IF("depth = 1", "is_simple_number")}, {_IF("has_parent", "parent_exists")}, {_IF("len([p FOR p IN parts IF NOT regexp_full_match(p, '[0-9]+')]) > 0", "has_non_numeric_part")}, 1 AS ocr_conf_below_30, 1 AS ocr_is_first_word_in_line, {_IF("major BETWEEN 1 AND 31", "section_num_is_possible_day")} FROM x"""

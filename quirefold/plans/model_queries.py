@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirefold.operators import features as FE
 from quirefold.operators import model as M
 from quirefold.operators import sequence as Q
 from quirefold.plans import section_queries as S
@@ -15,9 +16,12 @@ DIRECTIONS = {"is_next": 1, "num_len": -1}
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    """Sections with features; the label says whether the page is one of the first five."""
+    """Sections with features; the label, known of every third, says whether its document has the
+    section above it, which takes the document's other rows to know."""
     x = Q.number_features(Q.title_features(Q.neighbours(Q.parsed(V.sections(spark, d))))).withColumn("major_f", F.col("major"))
-    return x.withColumn("label", F.when(F.col("seq") % 3 == 0, F.when((F.col("is_next") == 1) | (F.col("depth") == 1), 1).otherwise(0)))
+    have = x.select("doc", F.col("num").alias("above")).distinct().withColumn("there", F.lit(1))
+    x = x.withColumn("above", F.array_join(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))), ".")).join(have, ["doc", "above"], "left").drop("above")
+    return x.withColumn("label", F.when(F.col("seq") % 3 == 0, F.coalesce("there", F.lit(0)))).drop("there")
 
 
 def j5_label_carry(spark: SparkSession, d: str) -> DataFrame:
@@ -66,15 +70,13 @@ def a8_mutual_information(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f_combined(spark: SparkSession, d: str) -> DataFrame:
-    x = Q.gap_features(Q.title_features(Q.number_features(Q.neighbours(Q.toc_fuzzy(Q.parsed(V.sections(spark, d)), S._toc(Q.parsed(V.sections(spark, d))))))))
-    x = x.withColumn("good_title", F.col("title_quality") > 0.5).withColumn("no_text_before", F.lit(1)).withColumn("absurdly_long", F.col("title_len") > 100).withColumn("major_gt_20", F.coalesce(F.col("major") > 20, F.lit(False)))
-    x = x.withColumn("in_toc", F.col("in_toc").cast("int"))
-    return x.select("doc", "seq", M.combined_confidence(x).alias("confidence"))
+    s = V.sections(spark, d)
+    return FE.section_features(s, S._toc(Q.parsed(s)), V.PAGE_W, V.PAGE_H).select("doc", "seq", "combined_confidence")
 
 
 QUERIES = {f.__name__: f for f in (j5_label_carry, labels, m1_keep, m1_boosted, m4_audit, reclassify, a7_redundant, a8_mutual_information, f_combined)}
 _P = "WITH " + V.PARSED + S._NEXT
-_F = _P + ", fe AS (SELECT *, length(topic) AS title_len, length(section_number) AS num_len, CASE WHEN seq % 3 = 0 THEN CASE WHEN is_next = 1 OR depth = 1 THEN 1 ELSE 0 END END AS label FROM nb)"
+_F = _P + ", fe AS (SELECT nb.*, length(topic) AS title_len, length(section_number) AS num_len, CASE WHEN seq % 3 = 0 THEN CASE WHEN ab.num IS NULL THEN 0 ELSE 1 END END AS label FROM nb LEFT JOIN (SELECT DISTINCT doc, num FROM nb) ab ON nb.doc = ab.doc AND ab.num = array_to_string(parts[1:depth - 1], '.'))"
 SQL = {
     "j5_label_carry": _P + """, k AS (SELECT doc, seq, is_next, CASE WHEN seq % 7 <> 0 THEN doc || '|' || section_number || '|' || page || '|' || y_top END AS f, doc || '|' || section_number AS e, section_number || '|' || topic AS c, doc * 1000000 + seq AS ord FROM nb),
         o AS (SELECT * FROM k WHERE seq % 2 = 0), l1 AS (SELECT f, arg_max(is_next, ord) AS l FROM o WHERE f IS NOT NULL GROUP BY f), l2 AS (SELECT e, arg_min(is_next, ord) AS l FROM o GROUP BY e), l3 AS (SELECT c, arg_min(is_next, ord) AS l FROM o GROUP BY c)

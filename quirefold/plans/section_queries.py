@@ -123,14 +123,14 @@ SQL = {
         SELECT doc, seq, CAST(CASE WHEN idx = 0 THEN CASE WHEN num IN ('1', '1.1', '1.0') THEN 1.0 WHEN major <= 3 THEN 0.7 ELSE 0.3 END ELSE round(greatest(0.0, least(1.0, 0.5 * is_next + coalesce(CASE WHEN major = pmaj THEN 0.3 WHEN major - pmaj = 1 THEN 0.4
             WHEN major - pmaj > 1 THEN -0.1 * (major - pmaj - 1) ELSE 0.0 END, 0) + CASE WHEN idx >= 2 AND abs(depth - ad) <= 1 THEN 0.2 ELSE 0.0 END)), 6) END AS DOUBLE) AS fit_score FROM e""",
     "w5_vertical_gap": _P + """, g AS (SELECT doc, seq, CASE WHEN lag(page) OVER w = page AND y_top >= lag(y_top + h) OVER w THEN y_top - lag(y_top + h) OVER w ELSE -1 END AS gap FROM parsed WINDOW w AS (PARTITION BY doc ORDER BY seq)),
-        s AS (SELECT doc, median(gap) AS med, coalesce(stddev_samp(gap), 1) AS dev, avg(gap) AS mean FROM g WHERE gap >= 0 GROUP BY doc)
-        SELECT g.doc, seq, gap, round(CASE WHEN gap >= 0 AND dev > 0 THEN (gap - mean) / dev ELSE 0 END, 6) AS gap_z, CASE WHEN gap >= 0 AND gap > 1.5 * med THEN 1 ELSE 0 END AS large, CASE WHEN gap >= 0 AND gap < 0.5 * med THEN 1 ELSE 0 END AS small FROM g LEFT JOIN s ON g.doc = s.doc""",
+        s AS (SELECT doc, median(gap) AS med, coalesce(stddev_samp(gap), 1) AS dev FROM g WHERE gap >= 0 GROUP BY doc)
+        SELECT g.doc, seq, gap, round(CASE WHEN gap >= 0 AND dev > 0 THEN (gap - med) / dev ELSE 0 END, 6) AS gap_z, CASE WHEN gap >= 0 AND gap > 1.5 * med THEN 1 ELSE 0 END AS large, CASE WHEN gap >= 0 AND gap < 0.5 * med THEN 1 ELSE 0 END AS small FROM g LEFT JOIN s ON g.doc = s.doc""",
     "w7_format_consistency": _P + r""", y AS (SELECT *, CASE WHEN upper(topic) = topic AND lower(topic) <> topic THEN 1 ELSE 0 END AS up, CASE WHEN regexp_matches(topic, '\p{L}') AND NOT regexp_matches(topic, '(?:^|[^\p{L}])\p{Ll}') AND NOT regexp_matches(topic, '\p{L}\p{Lu}') THEN 1 ELSE 0 END AS ti FROM parsed),
         o AS (SELECT a.doc, a.seq, a.x_left, a.up, a.ti, count(*) AS n, median(b.x_left) AS med, sum(b.up) AS ups, sum(b.ti) AS tis FROM y a JOIN y b ON a.doc = b.doc AND a.depth = b.depth
             AND (a.section_number, a.topic, a.page, a.x_left, a.y_top, a.w, a.h) IS DISTINCT FROM (b.section_number, b.topic, b.page, b.x_left, b.y_top, b.w, b.h) GROUP BY ALL)
         SELECT y.doc, y.seq, CAST(CASE WHEN o.n IS NULL THEN 0.5 ELSE round((CASE WHEN abs(y.x_left - med) < 50 THEN 0.5 ELSE 0 END + CASE WHEN ups > n / 2 AND y.up = 1 THEN 0.3 WHEN tis > n / 2 AND y.ti = 1 THEN 0.3 ELSE 0 END) / 2, 6) END AS DOUBLE) AS format_score
         FROM y LEFT JOIN o ON y.doc = o.doc AND y.seq = o.seq""",
-    "j7_parent_exists": _P + ", x AS (SELECT doc, seq, array_to_string(parts[1:depth - 1], '.') AS parent FROM parsed) SELECT doc, seq, parent, CASE WHEN EXISTS (SELECT 1 FROM parsed p WHERE p.doc = x.doc AND p.num = x.parent) THEN 1 ELSE 0 END AS parent_exists FROM x",
+    "j7_parent_exists": _P + ", x AS MATERIALIZED (SELECT doc, seq, num, array_to_string(parts[1:depth - 1], '.') AS parent FROM parsed), n AS (SELECT DISTINCT doc, num FROM x) SELECT x.doc, x.seq, x.parent, CASE WHEN n.num IS NULL THEN 0 ELSE 1 END AS parent_exists FROM x LEFT JOIN n ON x.doc = n.doc AND x.parent = n.num",
     "j8_toc_fuzzy": _P + _FUZZY + " SELECT doc, seq, CAST(toc_score AS DOUBLE) AS toc_score, in_toc FROM fz",
     "x1_toc_metrics": _P + _METRICS + " SELECT doc, n_toc, n_output, n_both, n_union, match_pct, coverage_pct, precision_pct FROM mm",
     "f_title": _P + rf""", x AS (SELECT doc, seq, topic, [w FOR w IN regexp_split_to_array(topic, '\s+') IF w <> ''] AS ws FROM parsed)

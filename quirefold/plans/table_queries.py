@@ -48,6 +48,12 @@ def w8_content_run(spark: SparkSession, d: str) -> DataFrame:
     return P.classified(t).groupBy("doc").agg(F.count("*").alias("typed"))
 
 
+def content_pages(spark: SparkSession, d: str) -> DataFrame:
+    """P1 of the inventory: pages from their document's content start on."""
+    t = _types(spark, d)
+    return P.content_pages(t, P.content_start(t)).select("doc", "page", "page_type")
+
+
 def w9_transition(spark: SparkSession, d: str) -> DataFrame:
     return P.content_start(_types(spark, d))
 
@@ -104,7 +110,7 @@ def t10_listed_grid(spark: SparkSession, d: str) -> DataFrame:
     return T.listed_grid(t, "rec_id", rows, "table_id")
 
 
-QUERIES = {f.__name__: f for f in (c1_fast_type, c2_short_type, c3_prose, c4_title_indicators, w8_content_run, w9_transition, t1_grid, t2_occupied, t3_consolidate, t4_positions, t5_trim, a18_widths, landscape, t7_html_grid, t10_listed_grid)}
+QUERIES = {f.__name__: f for f in (c1_fast_type, c2_short_type, c3_prose, c4_title_indicators, w8_content_run, w9_transition, content_pages, t1_grid, t2_occupied, t3_consolidate, t4_positions, t5_trim, a18_widths, landscape, t7_html_grid, t10_listed_grid)}
 
 _IND = " + ".join(f"CAST(regexp_matches(t, '(?is){p}') AS INTEGER)" for p in P.TITLE_PATTERNS)
 _STOP = ", ".join(f"'{w}'" for w in P.STOP_WORDS)
@@ -142,3 +148,4 @@ SQL = {
         SELECT rec_id, CAST(col AS INTEGER) AS col, round(CASE WHEN low = 0 OR low = n_cols THEN pct WHEN pct < 5 THEN 5 ELSE pct * (donors - deficit) / donors END, 4) AS width_pct FROM q""",
     "landscape": f"""WITH {_GRID}, c AS (SELECT rec_id, n_cols, col, max(list_max([length(w) FOR w IN regexp_split_to_array(text, '\\s+')])) AS n FROM g GROUP BY ALL) SELECT rec_id, n_cols > 4 AND sum(n * 0.055) + n_cols * 0.15 > 6.5 AS landscape FROM c GROUP BY rec_id, n_cols""",
 }
+SQL["content_pages"] = f"WITH {_TYPES}, w9 AS ({SQL['w9_transition']}) SELECT ty.doc, ty.page, ty.page_type FROM ty LEFT JOIN w9 ON ty.doc = w9.doc WHERE ty.page >= coalesce(w9.start, ty.page)"

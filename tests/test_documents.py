@@ -19,7 +19,14 @@ def test_feature_table(spark):
     df = _sections(spark, {1: [("1", "Scope"), ("1.1", "THE PUMPS"), ("1,2", "May 2024"), (None, None), ("", " "), ("99.5", "x" * 600)], 2: [("7", "...")]})
     toc = spark.createDataFrame([(1, "1.1")], "doc long, num string")
     got = {(r.doc, r.seq): r for r in FE.section_features(df, toc, 1000.0, 1000.0).collect()}
-    assert len(got) == 7 and len(got[1, 0]) > 120 and all(v is not None for r in got.values() for v in r)
+    assert len(got) == 7 and len(got[1, 0]) == 2 + 17 + 162 and all(v is not None for r in got.values() for v in r)
+    row = df.filter("doc = 1 and seq = 5").withColumn("leading_whitespace", F.lit(2)).withColumn("text_before_number", F.lit("See para ")).withColumn("conf_mean", F.lit(40.0)).withColumn("n_low", F.lit(3)).withColumn("n_words", F.lit(4)).withColumn("h", F.lit(90)).withColumn("seq", F.lit(9).cast("long"))
+    more = df.filter("doc = 1").unionByName(row, allowMissingColumns=True)
+    lang = spark.createDataFrame([(1, 9, 1, 7)], "doc long, seq long, lang_has_modal int, lang_word_count int")
+    b = {r.seq: r for r in FE.section_features(more, toc, 1000.0, 1000.0, lang).filter("doc = 1").collect()}
+    assert b[9].had_text_before_number == 1 and b[9].text_before_number_len == 9 and b[9].text_before_is_reference == 1 and b[9].leading_whitespace_len == 2 and b[0].had_leading_whitespace == 0
+    assert b[9].ocr_mostly_low_conf == 1 and b[9].ocr_conf_below_50 == 1 and b[9].ocr_conf_below_30 == 0 and b[0].ocr_conf_below_30 == 1 and b[9].relative_height == 4.5 and b[9].height_is_very_tall == 1 and b[0].height_is_multiline == 0
+    assert b[9].lang_has_modal == 1 and b[0].lang_has_modal == 0 and b[9].combined_confidence == 0.0 and b[3].section_major == -1 and b[3].section_num_length_to_depth_ratio == 0 and b[0].max_subsection_value == 0
     a = got[1, 1]
     assert a.in_toc_exact == 1 and a.is_logical_next == 1 and a.parent_exists == 1 and a.title_is_all_caps == 1 and a.title_starts_with_article == 1 and a.vertical_gap_from_prev_px == 80
     assert got[1, 2].looks_like_date == 1 and got[1, 2].section_depth == 2 and got[1, 4].title_is_whitespace_only == 1 and got[1, 5].title_absurdly_long == 1 and got[2, 0].title_is_punctuation_only == 1
