@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from quirefold.functions import numbers as N
 from quirefold.functions import text as T
 from quirefold.operators import sequence as Q
-from quirefold.session import written
 
 #: Words that open instructions, words of major sections.
 IMPERATIVES = ("see", "refer", "note", "ensure", "verify", "check", "use", "apply", "follow", "review", "contact", "consult", "consider")
@@ -31,6 +30,10 @@ WEIGHTS = {
 MAJOR_KEYWORDS = ("scope", "introduction", "overview", "requirements", "references", "documents", "definitions", "general", "verification", "quality", "packaging", "notes", "appendix")
 
 
+#: Sections that a task sorts several times over without spilling.
+ROWS_A_TASK = 100_000
+
+
 def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False)).cast("int")
 
@@ -39,26 +42,24 @@ def _part(a: Column, b: Column | float, otherwise: float = 0.0) -> Column:
     return F.round(F.coalesce(F.try_divide(a.cast("double"), b if isinstance(b, Column) else F.lit(b)), F.lit(otherwise)), 6)
 
 
-def section_features(sections: DataFrame, toc: DataFrame, page_width: float, page_height: float, language: DataFrame | None = None) -> DataFrame:
-    """doc, seq, what describes the row, and the features. toc: doc, num; language: doc, seq and the lang_* columns."""
+def section_features(sections: DataFrame, toc: DataFrame | Column, page_width: float, page_height: float, language: DataFrame | None = None) -> DataFrame:
+    """doc, seq, what describes the row, and the features. toc: doc, num, or which of the parsed sections the contents name; language: doc, seq and the lang_* columns."""
     have = set(sections.columns)
-    base = written(Q.parsed(sections), "sections")  # read by every branch below
-    x = Q.toc_fuzzy(Q.format_score(base).drop("n", "k", "hist", "uppers", "titles"), toc)
-    x = x.join(Q.gap_features(base).select("doc", "seq", "gap", "gap_z", "large", "small"), ["doc", "seq"])
-    x = x.join(Q.fit_score(base).select("doc", "seq", "fit_score", "is_next", "next_is", "both", "first", "last"), ["doc", "seq"])
-    x = x.join(Q.extended_score(base).select("doc", "seq", "extended_score"), ["doc", "seq"])
-    s = Q.doc_stats(base)
-    by_depth = base.groupBy("doc", "depth").agg(F.median("x_left").alias("depth_x"), F.coalesce(F.stddev_samp("x_left"), F.lit(1.0)).alias("depth_x_dev"))
-    low = base.groupBy("doc").agg(F.min("x_left").alias("x_min"), F.max("page").alias("pages"), F.median("h").alias("h_median"))
-    x = x.join(s, "doc").join(by_depth, ["doc", "depth"]).join(low, "doc")
-    w, page = Window.partitionBy("doc").orderBy("seq"), Window.partitionBy("doc", "page")
-    x = x.withColumns({"p_major": F.lag("major").over(w), "n_major": F.lead("major").over(w), "p_depth": F.lag("depth").over(w), "idx": F.row_number().over(w) - 1, "same_page": F.count("*").over(page)})
-    numbers = x.select("doc", F.col("num").alias("parent")).distinct().withColumn("there", F.lit(1))
-    x = x.withColumn("parent", F.array_join(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))), ".")).join(numbers, ["doc", "parent"], "left")
-    x = x.join(toc.select("doc", F.col("num").alias("parent"), F.lit(1).alias("toc_parent")).distinct(), ["doc", "parent"], "left")
-
     if language is not None:
-        x = x.join(language.select("doc", "seq", *[k for k in LANGUAGE if k in language.columns]), ["doc", "seq"], "left")
+        sections = sections.join(language.select("doc", "seq", *[k for k in LANGUAGE if k in language.columns]), ["doc", "seq"], "left")
+    # all by windows within a document, so that rows are shuffled once, by document; sorted by number asked for, seq, depth and page
+    x = Q.gap_features(Q.fit_score(Q.extended_score(Q.neighbours(Q.looked_up(sections, toc))))).drop("n", "k")
+    doc, w, dev = Window.partitionBy("doc"), Window.partitionBy("doc").orderBy("seq"), lambda c, v: F.coalesce(F.stddev_samp(c).over(v), F.lit(1.0))
+    x = x.withColumns({"p_major": F.lag("major").over(w), "n_major": F.lead("major").over(w), "p_depth": F.lag("depth").over(w)})
+    t_len = F.length("topic")
+    x = x.withColumns({
+        "n_sections": F.count("*").over(doc), "x_median": F.median("x_left").over(doc), "x_dev": dev("x_left", doc), "y_median": F.median("y_top").over(doc), "y_dev": dev("y_top", doc), "len_median": F.median(t_len).over(doc), "len_dev": dev(t_len, doc),
+        "depth_median": F.median("depth").over(doc), "x_min": F.min("x_left").over(doc), "pages": F.max("page").over(doc), "h_median": F.median("h").over(doc),
+    })
+    x, depth = Q.format_score(x).drop("n", "k", "hist", "uppers", "titles"), Window.partitionBy("doc", "depth")
+    x = x.withColumns({"depth_x": F.median("x_left").over(depth), "depth_x_dev": dev("x_left", depth)})
+    x = x.withColumn("same_page", F.count("*").over(Window.partitionBy("doc", "page")))
+    x = x.withColumn("parent", F.array_join(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))), "."))
     c = F.col
     get = lambda n, d=0.0: F.coalesce(c(n), F.lit(d)) if n in have else F.lit(d)
     t, num = F.coalesce("topic", F.lit("")), F.coalesce("section_number", F.lit(""))
@@ -103,7 +104,7 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
         "ocr_is_first_word_in_line": _flag(get("word_num_first", 0) <= 1), "ocr_word_num_first": get("word_num_first", 0),
         # number
         "section_depth": c("depth"), "section_depth_vs_median": F.when(F.coalesce("depth_median", F.lit(0.0)) != 0, c("depth") - c("depth_median")).otherwise(0.0), "section_major": F.coalesce("major", F.lit(-1)), "section_major_seen_before": _flag(c("major").isNotNull()),
-        "is_simple_number": _flag(c("depth") == 1), "parent_exists": _flag((c("there") == 1) & (c("parent") != "")), "has_non_numeric_part": _flag(F.exists("parts", lambda p: ~p.rlike(r"^\d+$"))), "max_subsection_value": largest, "subsection_looks_like_decimal": _flag(largest >= 50),
+        "is_simple_number": _flag(c("depth") == 1), "parent_exists": _flag(c("there") & (c("parent") != "")), "has_non_numeric_part": _flag(F.exists("parts", lambda p: ~p.rlike(r"^\d+$"))), "max_subsection_value": largest, "subsection_looks_like_decimal": _flag(largest >= 50),
         # number as written
         "section_num_alpha_count": count(r"[^\p{L}]"), "section_num_too_many_alpha": _flag(count(r"[^\p{L}]") > 2), "section_num_is_pure_digits": _flag(pure), "section_num_pure_digit_length": F.when(pure, raw_len).otherwise(0), "section_num_pure_digits_too_long": _flag(pure & (raw_len > 3)),
         "section_num_mixed_no_dot": _flag(num.rlike(r"\p{Nd}") & num.rlike(r"\p{L}") & ~F.contains(num, F.lit("."))), "section_num_length_to_depth_ratio": F.round(ratio, 6), "section_num_ratio_suspicious": _flag(ratio > 2), "section_num_raw_length": raw_len,
@@ -149,7 +150,7 @@ def section_features(sections: DataFrame, toc: DataFrame, page_width: float, pag
         # content
         "content_length_chars": F.length(body), "content_length_words": F.size(T.words(body)), "content_is_empty": _flag(T.py_strip(body) == ""), "title_to_content_ratio": F.when(F.length(body) > 0, F.round(chars / F.length(body), 6)).when(chars == 0, 0.0).otherwise(999.0),
         # contents page
-        "in_toc_exact": _flag(c("in_toc")), "toc_fuzzy_score": c("toc_score"), "parent_in_toc": _flag(c("toc_parent") == 1),
+        "in_toc_exact": _flag(c("in_toc")), "toc_fuzzy_score": c("toc_score"), "parent_in_toc": _flag(c("toc_parent")),
         # position
         "page_number": c("page"), "page_number_normalized": _part(c("page"), c("pages")), "sequence_position": c("idx"), "sequence_position_normalized": _part(c("idx"), c("n_sections")), "sections_on_same_page": c("same_page"),
         # scores

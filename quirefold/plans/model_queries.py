@@ -70,8 +70,7 @@ def a8_mutual_information(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f_combined(spark: SparkSession, d: str) -> DataFrame:
-    s = V.sections(spark, d)
-    return FE.section_features(s, S._toc(Q.parsed(s)), V.PAGE_W, V.PAGE_H).select("doc", "seq", "combined_confidence")
+    return FE.section_features(V.sections(spark, d, FE.ROWS_A_TASK), S._named(), V.PAGE_W, V.PAGE_H).select("doc", "seq", "combined_confidence")
 
 
 QUERIES = {f.__name__: f for f in (j5_label_carry, labels, m1_keep, m1_boosted, m4_audit, reclassify, a7_redundant, a8_mutual_information, f_combined)}

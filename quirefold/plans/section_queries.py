@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.operators import sequence as Q
@@ -13,9 +13,14 @@ def _sections(spark: SparkSession, d: str) -> DataFrame:
     return Q.parsed(V.sections(spark, d))
 
 
+def _named() -> Column:
+    """Which sections the contents name: those whose number's length and first part don't add up to a multiple of three."""
+    return (F.length("num") + F.col("major")) % 3 != 0
+
+
 def _toc(x: DataFrame) -> DataFrame:
-    """A table of contents for each document: the numbers whose length and first part don't add up to a multiple of three."""
-    return x.filter((F.length("num") + F.col("major")) % 3 != 0).select("doc", "num").distinct()
+    """A table of contents for each document."""
+    return x.filter(_named()).select("doc", "num").distinct()
 
 
 def a2_doc_stats(spark: SparkSession, d: str) -> DataFrame:

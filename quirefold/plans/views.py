@@ -38,12 +38,21 @@ LINES = WORDS + """,
         FROM words w JOIN cm ON w.doc = cm.doc AND w.page = cm.page AND w.line_num = cm.line_num GROUP BY w.doc, w.page, w.line_num)"""
 
 
-def sections(spark: SparkSession, d: str) -> DataFrame:
-    """Numbered sections of documents, made from lineitem and part: doc, seq, section_number, topic, page, box."""
+#: Parts whose names are sent to all workers; if there are more, it's left to the planner.
+MAX_PARTS = 2_000_000
+
+
+def sections(spark: SparkSession, d: str, rows_a_task: int | None = None) -> DataFrame:
+    """Numbered sections of documents, made from lineitem and part: doc, seq, section_number, topic, page, box.
+
+    rows_a_task: documents go to so many tasks that each has about so many rows to sort; else to as many as the session says."""
     from pyspark.sql import Window
 
     l = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    x = l.join(table(spark, d, "part", "p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    part = table(spark, d, "part", "p_partkey", "p_name")
+    if rows_a_task and part.count() <= MAX_PARTS:
+        part = F.broadcast(part)
+    x = l.join(part, F.col("l_partkey") == F.col("p_partkey"))
     k, n, s, p = F.col("l_orderkey"), F.col("l_linenumber").cast("string"), F.col("l_suppkey"), F.col("l_partkey")
     two = F.concat(n, F.lit("."), (s % 12 + 1).cast("string"))
     number = (
@@ -52,6 +61,8 @@ def sections(spark: SparkSession, d: str) -> DataFrame:
     )
     w = Window.partitionBy("doc").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     x = x.withColumn("doc", F.floor(k / 16))
+    if rows_a_task:
+        x = x.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), l.count() // rows_a_task), "doc")
     return x.select(
         "doc", (F.row_number().over(w) - 1).alias("seq"), number.alias("section_number"), F.col("p_name").alias("topic"), (1 + F.floor("l_quantity") % 10).cast("int").alias("page"),
         (100 + (p % 5) * 40).alias("x_left"), (60 + (s % 30) * 100).alias("y_top"), (200 + (p % 50) * 10).alias("w"), (30 + (p % 4) * 10).alias("h"),

@@ -83,3 +83,16 @@ def test_folds_see_whole_groups_in_order(spark):
     df = spark.createDataFrame(rows, "k int, v double")
     got = {r.k: (r.n, r.first) for r in fold_groups(df, ["k"], ["v"], lambda key, rs: [(key[0], len(rs), rs[0][0])], "k int, n int, first double", flush=7).collect()}
     assert got == {k: (sum(a == k for a, _ in rows), min(v for a, v in rows if a == k)) for k in {a for a, _ in rows}}
+
+
+def test_feature_table_goes_by_document_once(spark):
+    df = _sections(spark, {1: [("1", "Scope"), ("1.1", "Pumps"), ("1.1.4", "Oil"), ("2.a", "Seals"), (None, None), ("1", "Scope")], 2: [("7", "..."), ("7.3.1", "x")], 3: [("1", "a"), ("1.1", "b")]})
+    toc = spark.createDataFrame([(1, "1.1.2"), (1, "2"), (2, "7.3"), (4, "1")], "doc long, num string")
+    x = FE.section_features(df, toc, 1000.0, 1000.0)
+    plan = x._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan  # shuffles were dozens, and filled the disk
+    got = {(r.doc, r.seq): (r.parent_exists, r.in_toc_exact, r.toc_fuzzy_score, r.parent_in_toc) for r in x.collect()}
+    assert got == {(1, 0): (0, 0, 0.4, 0), (1, 1): (1, 0, 0.8, 0), (1, 2): (1, 0, 0.8, 0), (1, 3): (0, 0, 0.4, 1), (1, 4): (0, 0, 0.5, 0), (1, 5): (0, 0, 0.4, 0), (2, 0): (0, 0, 0.4, 0), (2, 1): (0, 0, 0.8, 1), (3, 0): (0, 0, 0.5, 0), (3, 1): (1, 0, 0.5, 0)}
+    named = F.col("num") == "1.1"
+    a, b = FE.section_features(df, named, 1000.0, 1000.0), FE.section_features(df, spark.createDataFrame([(1, "1.1"), (3, "1.1")], "doc long, num string"), 1000.0, 1000.0)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
