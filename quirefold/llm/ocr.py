@@ -3,9 +3,8 @@
 Lines of a page are labelled by a hidden Markov model with the states header, page number, body, break
 (a body line that opens a paragraph) and footer. Its observations are layout features: place on the page, kind
 of line (own title or name repeated on the document's pages, line repeated in the source, number of a page,
-heading, list, blank), and how it joins the line before. It is fitted without labels by Viterbi training on a
-sample of about FIT_PAGES pages (workers decode and count, only sums of counts come to the driver) and decodes all
-pages. Labels tell running text from the rest: a running line is one labelled header or footer that repeats on
+heading, list, blank), and how it joins the line before. It is fitted without labels by Viterbi training on all
+pages (workers decode and count, only sums of counts come to the driver) and then decodes them. Labels tell running text from the rest: a running line is one labelled header or footer that repeats on
 its document's pages, a page number one labelled so. Paragraphs are reassembled from the text, across pages too.
 
 Words are counted over all pages. A rare word that one usual confusion of scanning turns into one that is RATIO times
@@ -41,7 +40,7 @@ ZONE = 4
 LEAST_PAGES, LEAST_DOCS = 3, 5
 RATIO, LEAST_COUNT, LEAST_LENGTH = 20, 5, 4
 LOW_CONF, LOW_RATIO = 50.0, 10
-FIT_PAGES, FIT_ROUNDS = 10_000, 3
+FIT_ROUNDS = 3
 #: Misread words sent to a worker; if there are more, words of the pages are joined with them instead.
 MAX_SENT = 300_000
 #: Letters that a line must have to count as repeated in its source; copies may have lost some.
@@ -264,6 +263,16 @@ def observe(lines: list[str], own: set[int], shared: set[int], numbers: dict[int
     return out
 
 
+def pack(obs: np.ndarray) -> np.ndarray:
+    """A line's three features as one byte."""
+    return ((obs[:, 0].astype(np.uint8) * N_KIND + obs[:, 1].astype(np.uint8)) * N_JOIN + obs[:, 2].astype(np.uint8)).astype(np.uint8)
+
+
+def unpack(code: np.ndarray) -> np.ndarray:
+    c = code.astype(int)
+    return np.stack([c // (N_KIND * N_JOIN), c // N_JOIN % N_KIND, c % N_JOIN], -1)
+
+
 class LineModel:
     """A hidden Markov model over the five states with independent features."""
 
@@ -283,10 +292,15 @@ class LineModel:
         return (lz[:, obs[..., 0]] + lk[:, obs[..., 1]] + lj[:, obs[..., 2]]).transpose(*range(1, obs.ndim), 0)
 
     def decode(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """The most likely states of each page; pages of like length are decoded together."""
+        """The most likely states of each page."""
+        return self.paths([pack(p) for p in pages])
+
+    def paths(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+        """`decode` of packed features; pages of like length are decoded together."""
         out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pages)
         order = sorted(range(len(pages)), key=lambda i: len(pages[i]))
         lm, lf = np.log(self.move), np.log(self.first)
+        scores = np.ascontiguousarray(self.scores(unpack(np.arange(N_ZONE * N_KIND * N_JOIN))).T)
         at = 0
         while at < len(order):
             top = len(pages[order[at]])
@@ -295,42 +309,50 @@ class LineModel:
                 end += 1
             ids = order[at:end]
             at = end
-            long_ = max(len(pages[i]) for i in ids)
+            n = np.array([len(pages[i]) for i in ids])  # ascending: pages that go on are those from a place on
+            long_ = int(n[-1])
             if not long_:
                 continue
-            obs = np.zeros((len(ids), long_, 3), np.int8)
-            n = np.array([len(pages[i]) for i in ids])
+            code = np.zeros((len(ids), long_), np.uint8)
             for r, i in enumerate(ids):
-                obs[r, : n[r]] = pages[i]
-            e = self.scores(obs)
-            v = lf + e[:, 0]
-            back = np.zeros((len(ids), long_, 5), np.int8)
+                code[r, : n[r]] = pages[i]
+            code = np.ascontiguousarray(code.T)
+            live = np.searchsorted(n, np.arange(long_), side="right")
+            v = lf[:, None] + scores[:, code[0]]
+            back = np.zeros((long_, 5, len(ids)), np.uint8)
             for t in range(1, long_):
-                x = v[:, :, None] + lm
-                best = x.argmax(1)
-                w = np.take_along_axis(x, best[:, None], 1)[:, 0] + e[:, t]
-                live = (t < n)[:, None]
-                v = np.where(live, w, v)
-                back[:, t] = np.where(live, best, np.arange(5))
-            s = v.argmax(1)
-            path = np.zeros((len(ids), long_), np.int8)
+                lo = live[t]
+                u = v[:, lo:]
+                best, of = u[0] + lm[0][:, None], back[t, :, lo:]
+                for i in range(1, 5):
+                    x = u[i] + lm[i][:, None]
+                    np.copyto(of, i, where=x > best)
+                    np.maximum(best, x, out=best)
+                v[:, lo:] = best + scores[:, code[t, lo:]]
+            s = v.argmax(0)
+            path = np.zeros((long_, len(ids)), np.int8)
+            every = np.arange(len(ids))
             for t in range(long_ - 1, -1, -1):
-                path[:, t] = s
-                s = back[np.arange(len(ids)), t, s]
+                lo = live[t]
+                path[t, lo:] = s[lo:]
+                if t:
+                    s[lo:] = back[t, s[lo:], every[lo:]]
+            path = np.ascontiguousarray(path.T)
             for r, i in enumerate(ids):
                 out[i] = path[r, : n[r]]
         return out
 
     def counts(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """How often each state met each feature, state and beginning in the decoded pages."""
-        counts = [np.zeros_like(m) for m in self.prior]
-        for obs, path in zip(pages, self.decode(pages)):
-            if len(path):
-                for m, c in zip(counts, range(3)):
-                    np.add.at(m, (path, obs[:, c]), 1)
-                np.add.at(counts[3], (path[:-1], path[1:]), 1)
-                counts[4][path[0]] += 1
-        return counts
+        """How often each state met each feature, state and beginning in the decoded pages (packed features)."""
+        pages = [p for p in pages if len(p)]
+        if not pages:
+            return [np.zeros_like(m) for m in self.prior]
+        s, obs = np.concatenate(self.paths(pages)).astype(int), unpack(np.concatenate(pages))
+        begins = np.cumsum([0, *[len(p) for p in pages[:-1]]])
+        goes_on = np.ones(len(s), bool)
+        goes_on[begins] = False
+        met = [(s, obs[:, c], m.shape[1]) for c, m in enumerate(self.prior[:3])] + [(s[:-1][goes_on[1:]], s[1:][goes_on[1:]], 5)]
+        return [np.bincount(a * k + b, minlength=5 * k).reshape(5, k).astype(float) for a, b, k in met] + [np.bincount(s[begins], minlength=5).astype(float)]
 
     def refit(self, counts: list[np.ndarray], weight: float = 200.0) -> LineModel:
         """Mixes counts with what was believed before."""
@@ -341,8 +363,9 @@ class LineModel:
 
     def fit(self, pages: list[np.ndarray], rounds: int = FIT_ROUNDS) -> LineModel:
         """Viterbi training on pages at hand: decode, count, refit."""
+        packed = [pack(p) for p in pages]
         for _ in range(rounds):
-            self.refit(self.counts(pages))
+            self.refit(self.counts(packed))
         return self
 
 
@@ -415,7 +438,7 @@ class Repair:
         own = own.select("page_id", "line_no").union(edge.join(pair.select("doc", "letters").distinct(), ["doc", "letters"], "left_semi").select("page_id", "line_no")).distinct()
         # lines repeated in documents of the source, and copies that damage has left near them
         sourced = edge.filter("src is not null")
-        shared = sourced.filter(F.length("letters") >= SHARED_LETTERS).groupBy("src", "letters").agg(F.approx_count_distinct("doc").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+        shared = sourced.filter(F.length("letters") >= SHARED_LETTERS).groupBy("src", "letters").agg(F.count_distinct("doc").alias("n")).filter(F.col("n") >= LEAST_DOCS)
         shared, got = counted(shared.select("src", F.col("letters").alias("canon")), "shared", n=F.count(F.lit(1)))
         canon = canon_keys(shared, ["src"], "canon")
         # the planner can't tell how many keys a line has: only few lines are sent to all workers
@@ -430,17 +453,14 @@ class Repair:
         mark = lambda df, kind: df.select("page_id", F.struct(F.lit(kind).alias("k"), "line_no").alias("m"))
         marks = mark(own, OWN).union(mark(shared, SHARED)).union(mark(nums.filter("not odd"), NUMBER)).union(mark(nums.filter("odd"), BARE))
         marks = marks.groupBy("page_id").agg(F.collect_list("m").alias("marks"))  # lines of one page
-        self.marked = written(self.pages.join(marks, "page_id", "left").filter("page_text is not null and page_text <> ''"), "pages")
+        marked = self.pages.join(marks, "page_id", "left").filter("page_text is not null and page_text <> ''").select("page_id", "doc", "page_number", "page_text", "marks")
+        self.marked = written(marked.mapInArrow(_observer, "page_id long, doc long, page_number int, page_text string, marks array<struct<k:int,line_no:int>>, obs binary"), "pages")
         self.model = self._fit()
         self.lines = written(self._label(), "lines")
 
     def _fit(self) -> LineModel:
-        """Pages are sampled by their id's hash; workers decode them and count, the driver adds up their counts."""
-        n = self.marked.count()
-        got = self.marked.select("page_id", "page_text", "marks")
-        if n > FIT_PAGES:
-            got = got.filter(F.pmod(F.xxhash64("page_id"), F.lit(1_000_000)) < int(1e6 * FIT_PAGES / n))
-        got = written(got.mapInArrow(_observer, "width int, obs binary"), "sample")
+        """Workers decode all pages and count, the driver adds up their counts."""
+        got = self.marked.select("obs")
         model = LineModel()
         for _ in range(FIT_ROUNDS):
             parts = [np.frombuffer(r.counts) for r in got.mapInArrow(_counter(model), "counts binary").collect()]  # one small row a task
@@ -454,7 +474,7 @@ class Repair:
         the first words of the page's running text."""
         schema = ("page_id long, doc long, page_number int, labels array<int>, misread array<struct<line_no:int,word:string,meant:string>>, "
                   "broken array<struct<line_no:int,a:string,b:string,b_line:int>>, tail struct<line_no:int,a:string>, head array<struct<line_no:int,word:string>>")
-        pages = self.marked.select("page_id", "doc", "page_number", "page_text", "marks")
+        pages = self.marked.select("page_id", "doc", "page_number", "page_text", "obs")
         if self.dictionary.count() <= self.max_sent:
             words = {r.word: r.meant for r in self.dictionary.collect()}
             return pages.mapInArrow(_labeller(self.spark, self.model, words), schema)
@@ -560,17 +580,19 @@ def _marks(marks) -> tuple[set[int], set[int], dict[int, bool]]:
 
 
 def _observer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The features of each page, packed."""
+    """Pages with the features of their lines, packed."""
     for b in batches:
-        obs = [observe(t.split("\n"), *_marks(m)) for t, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array([len(o) for o in obs], pa.int32()), pa.array([o.tobytes() for o in obs], pa.binary())], names=["width", "obs"])
+        for at in range(0, b.num_rows, 2000):
+            x = b.slice(at, 2000)
+            obs = [pack(observe(t.split("\n"), *_marks(m))).tobytes() for t, m in zip(x.column("page_text").to_pylist(), x.column("marks").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(obs, pa.binary())], names=[*x.schema.names, "obs"])
 
 
 def _counter(model: LineModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(sum(m.size for m in model.prior))
         for b in batches:
-            obs = [np.frombuffer(o, np.int8).reshape(-1, 3) for o in b.column(1).to_pylist()]
+            obs = [np.frombuffer(o, np.uint8) for o in b.column(0).to_pylist()]
             total += np.concatenate([c.ravel() for c in model.counts(obs)])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
 
@@ -628,10 +650,10 @@ def _labeller(spark: SparkSession, model: LineModel, words: dict[str, str] | Non
         model, words, common = sent.value
         for b in batches:
             for at in range(0, b.num_rows, 2000):
-                ids, docs, nums, texts, marks = b.slice(at, 2000).columns
+                ids, docs, nums, texts, obs = b.slice(at, 2000).columns
                 texts = texts.to_pylist()
                 split = [t.split("\n") for t in texts]
-                paths = model.decode([observe(l, *_marks(m)) for l, m in zip(split, marks.to_pylist())])
+                paths = model.paths([np.frombuffer(o, np.uint8) for o in obs.to_pylist()])
                 got = [one(t, l, p, words, common) for t, l, p in zip(texts, split, paths)]
                 cols = [ids, docs, nums, [p.tolist() for p in paths], [g[3] for g in got], [g[0] for g in got], [g[1] for g in got], [g[2] for g in got]]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, types)], names=names)

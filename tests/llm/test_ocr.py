@@ -135,3 +135,26 @@ def test_damaged_forms_count_together(spark):
     rows = [(k, "bolleran-valve-survey-2001", k, "s", f"{f}\nSome words of text number {k} run here\nand they end here.", 1) for k, f in enumerate(forms, 1)]
     got = {(x.page_id, x.line_no) for x in Repair(spark.createDataFrame(rows, SCHEMA)).found().filter("kind = 'running'").collect()}
     assert got >= {(1, 0), (3, 0)}
+
+
+def test_model_is_fitted_on_all_pages(spark):
+    # 14,000 pages: as many as were sampled before, and more
+    rows = [(i, f"ABC-{1000 + i // 20}", i % 20 + 1, "s", f"Some words {i % 7}\nand more of them.\n" + "\n".join(f"Line {k}." for k in range(i % 5))) for i in range(14_000)]
+    r = Repair(spark.createDataFrame(rows, SCHEMA.rpartition(",")[0]))
+    obs = [np.frombuffer(x.obs, np.uint8) for x in r.marked.select("obs").collect()]
+    assert len(obs) == 14_000
+    m = LineModel()
+    for _ in range(3):
+        m.refit(m.counts(obs))
+    for a, b in zip((m.zone, m.kind, m.join, m.move, m.first), (r.model.zone, r.model.kind, r.model.join, r.model.move, r.model.first)):
+        assert (a == b).all()
+
+
+def test_source_needs_all_its_documents_counted(spark):
+    # every line is in five documents, the least that counts; an estimated count loses some
+    n = 120
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) * 3 for k in range(4))
+    rows = [(d * 1000 + i, f"D{d * 1000 + i}", 1, f"src{i}", f"Notice of {word(i * 977)} to all holders\n" + "\n".join(f"Body line {k} of it goes here." for k in range(12))) for i in range(n) for d in range(5)]
+    r = Repair(spark.createDataFrame(rows, SCHEMA.rpartition(",")[0]))
+    got = {x.page_id for x in r.marked.collect() for m in x.marks or () if m.k == 4 and m.line_no == 0}
+    assert got == {x[0] for x in rows}
