@@ -1,3 +1,4 @@
+import datetime
 import random
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from quirefold.operators import plugins as U
 from quirefold.operators import render as R
 from quirefold.operators import repair as RP
 from quirefold.operators.grouped import fold_groups
+from quirefold.plans import views as V
 
 SECTIONS = "doc long, seq long, section_number string, topic string, page int, x_left int, y_top int, w int, h int"
 
@@ -96,3 +98,21 @@ def test_feature_table_goes_by_document_once(spark):
     named = F.col("num") == "1.1"
     a, b = FE.section_features(df, named, 1000.0, 1000.0), FE.section_features(df, spark.createDataFrame([(1, "1.1"), (3, "1.1")], "doc long, num string"), 1000.0, 1000.0)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_sections_are_shuffled_without_names(spark, tmp_path):
+    kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp"
+    day = datetime.datetime(2024, 1, 1)
+    lines = [(k, 1 + k % 3, k % 5, k % 7, float(k % 4), float(k), day) for k in (-3, 0, 5, 15, 16, 31, 2**40, 2**40 + 1)] + [(5, 3, 0, 5, 1.0, p, None) for p in (9.5, 9.25, None)] + [(None, 1, 1, 1, 1.0, 1.0, day), (7, 1, None, 1, 1.0, 1.0, day)]
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    shuffled = lambda x: x._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[1].split("BroadcastExchange")[0]
+    for parts in ([(0, "a"), (1, "b"), (2, None), (4, "d"), (None, "e")], [(0, "a"), (0, "z"), (1, "b")]):
+        spark.createDataFrame(parts, "p_partkey long, p_name string").write.mode("overwrite").parquet(f"{tmp_path}/part.parquet")
+        x = V.sections(spark, str(tmp_path), 2)
+        unique = len(parts) == 5
+        assert "p_name" not in shuffled(x) and ("l_extendedprice" in shuffled(x)) != unique  # names and columns that decide nothing filled the disk
+        if unique:
+            assert sorted(map(str, x.collect())) == sorted(map(str, V.sections(spark, str(tmp_path)).collect()))
+        else:
+            by_price = [r.topic for r in x.filter("doc = 0 and section_number = '3'").orderBy("seq").collect()]
+            assert [sorted(by_price[i:i + 2]) for i in range(0, len(by_price), 2)] == [["a", "z"]] * (len(by_price) // 2)
